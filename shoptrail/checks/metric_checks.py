@@ -162,8 +162,9 @@ _EDGES = "[" + ", ".join(f"CAST({i / 10!r} AS DOUBLE)" for i in range(1, 10)) +
     f"""
 SELECT CAST(bin AS INTEGER) AS bin, count(*) AS rows, round(avg(score), 6) AS mean_predicted,
  round(avg(label), 6) AS observed_rate
-FROM (SELECT s.*, len(list_filter(e.edges, x -> x < s.score)) AS bin
- FROM scored s, (SELECT quantile_cont(score, {_EDGES}) AS edges FROM scored) e) GROUP BY bin""",
+FROM scored JOIN (SELECT d.score, count(e.edge) AS bin FROM (SELECT DISTINCT score FROM scored) d
+ LEFT JOIN (SELECT unnest(quantile_cont(score, {_EDGES})) AS edge FROM scored) e ON e.edge < d.score
+ GROUP BY d.score) USING (score) GROUP BY bin""",
     "scored",
 )
 def v6(spark, folder):

@@ -1 +1,437 @@
-"""Later."""
+"""Priors, models, calibration, scoring and the staged run.
+
+Priors, joins and request preparation are compared with SQL. Fitted models have no SQL
+counterpart; their properties are asserted in ``tests/``. Model sizes are kept small by the
+parameters a caller would use, the rows are always all rows.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark.ml import Pipeline
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shoptrail.checks.base import CFG, NUDGE, check, clean, raw, scored, stored_clean, stored_scores
+from shoptrail.checks.event_checks import TEXT_TIME, WIDE_RAW
+from shoptrail.checks.population_checks import labelled_parts
+from shoptrail.config import CATEGORY, PRIOR, USER_KEY
+
+from shoptrail.operators import behaviour as B
+from shoptrail.operators import learning as L
+from shoptrail.operators import metrics as M
+from shoptrail.operators import population as P
+from shoptrail.plans import scoring
+from shoptrail.plans.prepare import build_matrix
+from shoptrail.plans.stages import StagedRun
+from shoptrail.plans.training import pool_and_validation, train_model
+from shoptrail.session import fresh_path, materialize
+from shoptrail.sources import tables as S
+
+TREES = 5
+TRIALS = 2
+SMALL = L.TreeParams(max_depth=3)
+
+
+def _matrix(spark, folder) -> DataFrame:
+    return materialize(build_matrix(stored_clean(spark, folder), CFG), "matrix")
+
+
+def _train(spark, folder) -> DataFrame:
+    return _matrix(spark, folder).filter(F.col("split") == "train").drop("split")
+
+
+def _pool_and_validation(spark, folder):
+    pool, validation, _ = pool_and_validation(_train(spark, folder), CFG)
+    return pool, validation
+
+
+def _fitted_scores(spark, folder) -> DataFrame:
+    """Validation rows scored by a model fitted on the pool."""
+    pool, validation = _pool_and_validation(spark, folder)
+    model = L.fit_trees(pool, CFG, SMALL, TREES)
+    return materialize(L.score_rows(model, validation, CFG), "validation-scores")
+
+
+# --- category prior -------------------------------------------------------------------------------
+
+
+@check("a17_category_prior", "SELECT category_l1, round(cat_purchase_rate, 6) AS cat_purchase_rate FROM prior", "prior")
+def a17(spark, folder):
+    return L.category_prior(labelled_parts(spark, folder).filter("part = 'pool'"), CFG, 6)
+
+
+@check(
+    "l1_attach_prior",
+    """
+SELECT p.user_id, p.category_l1, p.part, round(cat_purchase_rate, 6) AS cat_purchase_rate
+FROM parts p LEFT JOIN prior USING (category_l1)""",
+    "parts prior",
+)
+def l1(spark, folder):
+    rows = materialize(labelled_parts(spark, folder), "parts")
+    prior = L.category_prior(rows.filter("part = 'pool'"), CFG)
+    joined = L.attach_prior(rows.select(USER_KEY, CATEGORY, "part"), prior)
+    return joined.withColumn(PRIOR, F.round(PRIOR, 6))
+
+
+_UNSEEN = """
+SELECT c.user_id, c.event_time, c.category_l1,
+ round(coalesce(p.cat_purchase_rate, (SELECT avg(cat_purchase_rate) FROM prior)), 6) AS cat_purchase_rate
+FROM clean c LEFT JOIN prior p ON p.category_l1 = c.category_l1"""
+
+
+def _prior_and_events(spark, folder):
+    prior = L.category_prior(labelled_parts(spark, folder).filter("part = 'pool'"), CFG)
+    return materialize(prior, "prior"), clean(spark, folder).select(USER_KEY, "event_time", CATEGORY)
+
+
+@check("j8_prior_lookup", _UNSEEN, "prior clean")
+def j8(spark, folder):
+    """Events in a category outside the prediction get the mean of the rates."""
+    prior, events = _prior_and_events(spark, folder)
+    return L.attach_prior(events, prior, fill_mean=True).withColumn(PRIOR, F.round(PRIOR, 6))
+
+
+@check(
+    "p24_map_lookup",
+    """
+SELECT c.user_id, c.event_time, c.category_l1, round(p.cat_purchase_rate, 6) AS cat_purchase_rate
+FROM clean c LEFT JOIN prior p ON p.category_l1 = c.category_l1""",
+    "prior clean",
+)
+def p24(spark, folder):
+    prior, events = _prior_and_events(spark, folder)
+    return L.attach_prior(events, prior).withColumn(PRIOR, F.round(PRIOR, 6))
+
+
+@check(
+    "l12_naive_baseline",
+    """
+SELECT user_id, category_l1, label, round(cat_purchase_rate, 6) AS score FROM parts JOIN prior USING (category_l1)
+WHERE part = 'validation'""",
+    "parts prior",
+)
+def l12(spark, folder):
+    rows = materialize(labelled_parts(spark, folder), "parts")
+    prior = L.category_prior(rows.filter("part = 'pool'"), CFG)
+    held_out = rows.filter("part = 'validation'").select(USER_KEY, CATEGORY, "label")
+    return L.naive_scores(held_out, prior).withColumn("score", F.round("score", 6))
+
+
+# --- feature preparation --------------------------------------------------------------------------
+
+
+@check(
+    "l3_impute",
+    "SELECT user_id, category_l1, "
+    + ", ".join(f"CAST(coalesce({c}, -1) AS DOUBLE) AS {c}" for c in CFG.recency_columns + CFG.user_columns)
+    + " FROM matrix",
+    "matrix",
+)
+def l3(spark, folder):
+    rows = _matrix(spark, folder).withColumn(PRIOR, F.lit(0.0))
+    return L.impute(rows, CFG).select(USER_KEY, CATEGORY, *CFG.recency_columns, *CFG.user_columns)
+
+
+def _prepared(spark, folder, stages) -> DataFrame:
+    pool, _ = _pool_and_validation(spark, folder)
+    rows = L.impute(pool, CFG)
+    return Pipeline(stages=stages).fit(rows).transform(rows)
+
+
+@check("l2_tree_features")
+def l2(spark, folder):
+    rows = _prepared(spark, folder, L.tree_inputs(CFG))
+    return rows.select(USER_KEY, CATEGORY, L.vector_to_array("features").alias("features"))
+
+
+@check("l4_standard_scaling")
+def l4(spark, folder):
+    rows = _prepared(spark, folder, L.linear_inputs(CFG))
+    return rows.select(USER_KEY, CATEGORY, L.vector_to_array("scaled").alias("scaled"))
+
+
+@check(
+    "l5_one_hot",
+    "SELECT user_id, part, category_l1, "
+    + ", ".join(f"CAST(category_l1 = '{c}' AS DOUBLE) AS is_{c}" for c in sorted(CFG.categories))
+    + " FROM parts WHERE part <> 'test'",
+    "parts",
+)
+def l5(spark, folder):
+    rows = labelled_parts(spark, folder).filter("part <> 'test'").select(USER_KEY, "part", CATEGORY)
+    encode = [L.category_indexer(CFG), L.OneHotEncoder(inputCols=["category_index"], outputCols=["slots"], dropLast=True)]
+    slots = Pipeline(stages=encode).fit(rows).transform(rows).withColumn("slots", L.vector_to_array("slots"))
+    named = [F.get("slots", F.lit(i)).alias(f"is_{c}") for i, c in enumerate(sorted(CFG.categories))]
+    return slots.select(USER_KEY, "part", CATEGORY, *named)
+
+
+# --- models ---------------------------------------------------------------------------------------
+
+
+@check("l6_logistic")
+def l6(spark, folder):
+    pool, validation = _pool_and_validation(spark, folder)
+    return L.score_rows(L.fit_linear(pool, CFG), validation, CFG)
+
+
+@check("l7_boosted_trees")
+def l7(spark, folder):
+    pool, validation = _pool_and_validation(spark, folder)
+    rows = pool.withColumn("held_out", F.lit(False)).unionByName(validation.withColumn("held_out", F.lit(True)))
+    model = L.fit_trees(materialize(rows, "marked"), CFG, SMALL, TREES, "held_out")
+    return L.score_rows(model, validation, CFG)
+
+
+@check("l8_cross_validation")
+def l8(spark, folder):
+    pool, _ = _pool_and_validation(spark, folder)
+    return L.cross_validate_trees(L.folded(pool, CFG), CFG, SMALL, TREES).reported()
+
+
+def _trials(spark, folder) -> DataFrame:
+    pool, _ = _pool_and_validation(spark, folder)
+    trials = L.search_params(L.folded(pool, CFG), CFG, TREES, TRIALS)
+    rows = [{**t, "max_depth": t["params"].max_depth, "step_size": t["params"].step_size} for t in trials]
+    columns = "trial int, auc double, best_trees int, max_depth int, step_size double"
+    return L.comparison_table(spark, rows, columns)
+
+
+@check("l9_random_search")
+def l9(spark, folder):
+    return _trials(spark, folder)
+
+
+@check("o9_best_trial")
+def o9(spark, folder):
+    best = F.max_by(F.struct("trial", "max_depth", "step_size"), F.struct("auc", -F.col("trial")))
+    return _trials(spark, folder).agg(best.alias("best")).select("best.*")
+
+
+@check("l10_refit_mean_trees")
+def l10(spark, folder):
+    pool, validation = _pool_and_validation(spark, folder)
+    crossed = L.cross_validate_trees(L.folded(pool, CFG), CFG, SMALL, TREES)
+    model = L.fit_trees(pool, CFG, SMALL, crossed.mean_trees)
+    return L.score_rows(model, validation, CFG)
+
+
+@check("l11_final_fit")
+def l11(spark, folder):
+    matrix = _matrix(spark, folder)
+    train, test = (matrix.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
+    _, _, prior = pool_and_validation(train, CFG)
+    model = L.fit_trees(L.attach_prior(train, prior), CFG, SMALL, TREES)
+    return L.score_rows(model, L.attach_prior(test, prior), CFG)
+
+
+@check("l13_model_comparison")
+def l13(spark, folder):
+    pool, validation = _pool_and_validation(spark, folder)
+    return L.compare_models(materialize(pool, "pool"), materialize(validation, "validation"), CFG, TREES)
+
+
+def _importance(spark, folder) -> DataFrame:
+    pool, _ = _pool_and_validation(spark, folder)
+    models = [
+        L.fit_trees(fold, CFG, SMALL, TREES)
+        for fold in (L.folded(pool, CFG).filter(F.col("fold") != k) for k in range(2))
+    ]
+    return L.mean_importance([L.split_counts(m, CFG) for m in models])
+
+
+@check("l14_split_importance")
+def l14(spark, folder):
+    return _importance(spark, folder)
+
+
+@check("a26_mean_over_folds")
+def a26(spark, folder):
+    return _importance(spark, folder).agg(F.count("*").alias("features"), F.sum("importance").alias("mean_splits"))
+
+
+@check("o7_top_features")
+def o7(spark, folder):
+    return L.top_features(_importance(spark, folder), 20)
+
+
+@check("l15_sampling_experiment")
+def l15(spark, folder):
+    pool, validation = _pool_and_validation(spark, folder)
+    return L.sampling_experiment(materialize(pool, "pool"), materialize(validation, "validation"), CFG, TREES)
+
+
+# --- calibration and reports on fitted scores -------------------------------------------------------
+
+
+def _calibrated(spark, folder) -> DataFrame:
+    rows = _fitted_scores(spark, folder)
+    users = materialize(rows.select(USER_KEY).distinct(), "validation-users")
+    half = P.calibration_cut(users, CFG).member()
+    return L.calibrate(L.fit_calibrator(rows.filter(half)), rows.filter(~half))
+
+
+@check("v7_isotonic_calibration")
+def v7(spark, folder):
+    return _calibrated(spark, folder).select(USER_KEY, CATEGORY, "score", "calibrated")
+
+
+@check("v8_calibration_report")
+def v8(spark, folder):
+    return L.calibration_report(_calibrated(spark, folder))
+
+
+@check("v11_run_record")
+def v11(spark, folder):
+    matrix = _matrix(spark, folder)
+    train, test = (matrix.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
+    return train_model(train, test, CFG, TREES, TRIALS).record
+
+
+# --- tables written and read back -------------------------------------------------------------------
+
+
+@check("s4_matrix_sink", "SELECT user_id, split, category_l1, label FROM labelled", "labelled")
+def s4(spark, folder):
+    path = fresh_path(spark, "matrix")
+    S.write_matrix(_matrix(spark, folder), path)
+    both = [S.read_matrix(spark, path, s).withColumn("split", F.lit(s)) for s in S.SPLITS]
+    return reduce(DataFrame.unionByName, both).select(USER_KEY, "split", CATEGORY, "label")
+
+
+@check(
+    "s5_matrix_read",
+    "SELECT user_id, category_l1, label, views_30d, total_views_30d FROM matrix WHERE split = 'test'",
+    "matrix",
+)
+def s5(spark, folder):
+    path = fresh_path(spark, "matrix")
+    S.write_matrix(_matrix(spark, folder), path)
+    return S.read_matrix(spark, path, "test").select(USER_KEY, CATEGORY, "label", "views_30d", "total_views_30d")
+
+
+_PREDICTED = "SELECT user_id, category_l1, score AS propensity_score FROM scored"
+_BEST = f"""
+SELECT * EXCLUDE (turn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY category_l1 ORDER BY propensity_score DESC, user_id) AS turn FROM ({_PREDICTED})) WHERE turn <= 5"""
+
+
+def _written_predictions(spark, folder) -> str:
+    path = fresh_path(spark, "predictions")
+    rows = stored_scores(spark, folder).select(USER_KEY, CATEGORY, F.col("score").alias("propensity_score"))
+    S.write_predictions(rows, path)
+    return path
+
+
+@check("s6_predictions_parquet", _PREDICTED, "scored")
+def s6(spark, folder):
+    return spark.read.parquet(f"{_written_predictions(spark, folder)}/parquet")
+
+
+@check("s7_predictions_csv", _PREDICTED, "scored")
+def s7(spark, folder):
+    return S.read_prediction_csv(spark, f"{_written_predictions(spark, folder)}/csv", T.LongType())
+
+
+@check("c7_target_sample_csv", _BEST, "scored")
+def c7(spark, folder):
+    return S.read_prediction_csv(spark, f"{_written_predictions(spark, folder)}/sample", T.LongType())
+
+
+@check("s8_run_record_json", "SELECT category_l1, round(cat_purchase_rate, 6) AS cat_purchase_rate FROM prior", "prior")
+def s8(spark, folder):
+    path = fresh_path(spark, "run")
+    prior = L.category_prior(labelled_parts(spark, folder).filter("part = 'pool'"), CFG)
+    record = M.mean_vs_true(scored(spark, folder))
+    S.write_run_record(record, prior, path)
+    assert S.read_run_record(spark, path, record.schema).count() == 1
+    return S.read_prior(spark, path).withColumn(PRIOR, F.round(PRIOR, 6))
+
+
+@check("s9_model_save_load")
+def s9(spark, folder):
+    pool, validation = _pool_and_validation(spark, folder)
+    path = fresh_path(spark, "model")
+    S.save_model(L.fit_trees(pool, CFG, SMALL, TREES), path)
+    return L.score_rows(S.load_model(path), validation, CFG)
+
+
+# --- scoring requests -------------------------------------------------------------------------------
+
+_ASKED = "category_l1 IN ('standard', 'medium', 'large', 'promo')"
+
+
+def _requests(spark, folder) -> DataFrame:
+    """One request per active pair, whatever its category, with its latest counts."""
+    past = B.history(clean(spark, folder), CFG)
+    pairs = B.pair_activity(past, CFG)
+    record = F.concat_ws("/", F.col(USER_KEY).cast("string"), F.col(CATEGORY))
+    return pairs.withColumn("record_id", record).drop(USER_KEY)
+
+
+@check(
+    "s12_request_source",
+    """
+SELECT user_id || '/' || category_l1 AS record_id, category_l1, views_30d, views_7d FROM windows""",
+    "windows",
+)
+def s12(spark, folder):
+    """Requests delivered as JSON text and read with the request schema."""
+    from shoptrail.schemas import request_schema
+
+    path = fresh_path(spark, "requests")
+    _requests(spark, folder).write.json(path)
+    asked = spark.read.schema(request_schema(CFG)).option("mode", "FAILFAST").json(path)
+    return asked.select("record_id", CATEGORY, "views_30d", "views_7d")
+
+
+@check(
+    "p26_request_guard",
+    f"""
+SELECT user_id || '/' || category_l1 AS record_id, category_l1, 'unknown category: ' || category_l1 AS reason
+FROM windows WHERE NOT {_ASKED}""",
+    "windows",
+)
+def p26(spark, folder):
+    return scoring.rejected(_requests(spark, folder), CFG).select("record_id", CATEGORY, "reason")
+
+
+@check(
+    "c8_request_features",
+    f"""
+SELECT user_id || '/' || category_l1 AS record_id, category_l1,
+ CAST(coalesce(views_7d, 0) AS DOUBLE) AS views_7d, CAST(coalesce(carts_14d, 0) AS DOUBLE) AS carts_14d,
+ round(coalesce(carts_30d, 0) / greatest(coalesce(views_30d, 0), 1) + {NUDGE}, 6) AS cart_view_ratio_30d,
+ round(coalesce(carts_7d, 0) / greatest(coalesce(views_7d, 0), 1) + {NUDGE}, 6) AS cart_view_ratio_7d,
+ round(cat_purchase_rate, 6) AS cat_purchase_rate
+FROM windows JOIN prior USING (category_l1) WHERE {_ASKED}""",
+    "windows prior",
+)
+def c8_features(spark, folder):
+    prior = L.category_prior(labelled_parts(spark, folder).filter("part = 'pool'"), CFG)
+    rows = scoring.request_features(_requests(spark, folder), materialize(prior, "prior"), CFG)
+    ratios = {c: F.round(F.col(c) + NUDGE, 6) for c in CFG.ratio_columns}
+    return rows.withColumns(ratios).select(
+        "record_id", CATEGORY, "views_7d", "carts_14d", *CFG.ratio_columns, PRIOR
+    )
+
+
+@check("c8_score_batch")
+def c8(spark, folder):
+    pool, _, prior = pool_and_validation(_train(spark, folder), CFG)
+    model = L.fit_trees(pool, CFG, SMALL, TREES)
+    return scoring.score_batch(model, _requests(spark, folder), prior, CFG)
+
+
+@check("c10_staged_run")
+def c10(spark, folder):
+    """Text files to predictions, stage by stage."""
+    home, csv = fresh_path(spark, "run"), fresh_path(spark, "csv")
+    text = raw(spark, folder).withColumn("event_time", TEXT_TIME).select(*[f.name for f in WIDE_RAW.fields])
+    text = text.withColumns({c: F.col(c).cast("int") for c in ("product_id", "user_id")})
+    text.write.option("header", True).csv(csv)
+    StagedRun(spark, home, CFG, [csv], TREES, 1).run()
+    return spark.read.parquet(f"{home}/predictions/parquet")

@@ -132,14 +132,13 @@ def pair_activity(past: DataFrame, cfg: Settings) -> DataFrame:
 
 
 def user_visits(past: DataFrame, cfg: Settings) -> DataFrame:
-    """Active days and sessions per user.
+    """Active days and sessions per user: the two values that need the events themselves.
 
-    Events are first reduced to distinct (user, session, day), so the two distinct counts expand
-    a small table, not the log.
+    Spark shuffles (user, day) and (user, session) after removing repeats on the map side, and
+    only then counts per user, so a busy user's events are spread by day and session.
     """
-    visits = past.select(USER_KEY, "user_session", F.to_date("event_time").alias("day")).distinct()
-    return visits.groupBy(USER_KEY).agg(
-        F.count_distinct("day").alias(f"active_days_{cfg.full}"),
+    return past.groupBy(USER_KEY).agg(
+        F.count_distinct(F.to_date("event_time")).alias(f"active_days_{cfg.full}"),
         F.count_distinct("user_session").alias(f"session_count_{cfg.full}"),
     )
 
