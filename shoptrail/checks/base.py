@@ -47,6 +47,11 @@ def clean(spark: SparkSession, folder: str) -> DataFrame:
     return clean_log(shopper_log(spark, folder))
 
 
+def stored_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """The raw log parsed once into a table, for reports that scan it column by column."""
+    return materialize(raw(spark, folder), "events")
+
+
 def stored_clean(spark: SparkSession, folder: str) -> DataFrame:
     """The clean log as a written table, for queries that read it more than once."""
     return materialize(clean(spark, folder), "clean")

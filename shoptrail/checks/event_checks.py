@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shoptrail.checks.base import _C, _E, ACT, CFG, activity, check, clean, raw
+from shoptrail.checks.base import _C, _E, ACT, CFG, activity, check, clean, raw, stored_raw
 from shoptrail.config import CATEGORY, USER_KEY
 from shoptrail.functions import columns as X
 from shoptrail.operators import cleaning, profiling
@@ -25,14 +25,18 @@ WIDE_RAW = T.StructType(
         for f in EVENT_RAW.fields
     ]
 )
-TEXT_TIME = F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
 TYPED = """event_time, event_type, product_id, category_id, category_code, brand,
  round(CAST(CAST(price AS FLOAT) AS DOUBLE), 3) AS price, user_id, user_session"""
 
 
+def text_time():
+    """The event time as it is delivered: text with a trailing zone."""
+    return F.concat(F.date_format("event_time", "yyyy-MM-dd HH:mm:ss"), F.lit(" UTC"))
+
+
 def _csv_round_trip(spark, folder, parts: int):
     """The raw log as delivered text, in as many folders as there are deliveries."""
-    text = raw(spark, folder).withColumn("event_time", TEXT_TIME).select(*[f.name for f in WIDE_RAW.fields])
+    text = raw(spark, folder).withColumn("event_time", text_time()).select(*[f.name for f in WIDE_RAW.fields])
     paths = []
     for part in range(parts):
         paths.append(fresh_path(spark, "csv"))
@@ -86,12 +90,12 @@ def s11(spark, folder):
 
 @check("p1_strip_utc", "SELECT user_id, strftime(event_time, '%Y-%m-%d %H:%M:%S') AS text FROM raw", "raw")
 def p1(spark, folder):
-    return raw(spark, folder).select(USER_KEY, X.strip_utc(TEXT_TIME).alias("text"))
+    return raw(spark, folder).select(USER_KEY, X.strip_utc(text_time()).alias("text"))
 
 
 @check("p2_parse_time", "SELECT user_id, event_time FROM raw", "raw")
 def p2(spark, folder):
-    return raw(spark, folder).select(USER_KEY, X.parse_event_time(TEXT_TIME).alias("event_time"))
+    return raw(spark, folder).select(USER_KEY, X.parse_event_time(text_time()).alias("event_time"))
 
 
 @check("p3_empty_to_null", "SELECT l_orderkey, nullif(replace(l_returnflag, 'R', ''), '') AS flag FROM lineitem")
@@ -393,7 +397,7 @@ def _unique_sql(columns: dict[str, str]) -> str:
 
 @check("a7_distinct_counts", f"SELECT {_unique_sql(_UNIQUE)} FROM raw", "raw")
 def a7(spark, folder):
-    return profiling.distinct_counts(raw(spark, folder), _UNIQUE)
+    return profiling.distinct_counts(stored_raw(spark, folder), _UNIQUE)
 
 
 @check(
@@ -408,7 +412,7 @@ FROM (SELECT category_code, split_part(category_code, '.', 1) AS a,
 )
 def a7_levels(spark, folder):
     names = {"unique_l1": "category_l1", "unique_l2": "category_l2", "unique_full": "category_code"}
-    return profiling.distinct_counts(cleaning.add_category_levels(raw(spark, folder)), names)
+    return profiling.distinct_counts(cleaning.add_category_levels(stored_raw(spark, folder)), names)
 
 
 _RAW_COLUMNS = "event_time event_type product_id category_id category_code brand price user_id user_session".split()
@@ -564,7 +568,7 @@ FROM raw""",
     "raw",
 )
 def c11(spark, folder):
-    return profiling.profile_report(raw(spark, folder))
+    return profiling.profile_report(stored_raw(spark, folder))
 
 
 @check(

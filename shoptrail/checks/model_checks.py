@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoptrail.checks.base import CFG, NUDGE, check, clean, raw, scored, stored_clean, stored_scores
-from shoptrail.checks.event_checks import TEXT_TIME, WIDE_RAW
+from shoptrail.checks.event_checks import WIDE_RAW, text_time
 from shoptrail.checks.population_checks import labelled_parts
 from shoptrail.config import CATEGORY, PRIOR, USER_KEY
 
@@ -430,7 +430,7 @@ def c8(spark, folder):
 def c10(spark, folder):
     """Text files to predictions, stage by stage."""
     home, csv = fresh_path(spark, "run"), fresh_path(spark, "csv")
-    text = raw(spark, folder).withColumn("event_time", TEXT_TIME).select(*[f.name for f in WIDE_RAW.fields])
+    text = raw(spark, folder).withColumn("event_time", text_time()).select(*[f.name for f in WIDE_RAW.fields])
     text = text.withColumns({c: F.col(c).cast("int") for c in ("product_id", "user_id")})
     text.write.option("header", True).csv(csv)
     StagedRun(spark, home, CFG, [csv], TREES, 1).run()

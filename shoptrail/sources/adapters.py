@@ -29,6 +29,15 @@ ACTIVITY_SETTINGS = Settings(
 )
 
 
+def _spread(table: DataFrame, key: str) -> DataFrame:
+    """Use all cores on a table that is stored in fewer splits than there are cores.
+
+    A table of many files or row groups is left as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < cores else table
+
+
 def shopper_log(spark: SparkSession, folder: str) -> DataFrame:
     """lineitem, orders and part as an event log. Join strategies are left to Spark."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
@@ -36,6 +45,7 @@ def shopper_log(spark: SparkSession, folder: str) -> DataFrame:
     )
     orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey", "o_orderdate")
     parts = spark.read.parquet(f"{folder}/part.parquet").select("p_partkey", "p_brand", "p_type", "p_size")
+    lines = _spread(lines, "l_orderkey")
     joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey).join(parts, lines.l_partkey == parts.p_partkey)
 
     kind = F.when(F.col("l_returnflag") == "N", "view").when(F.col("l_returnflag") == "A", "cart").otherwise("purchase")
