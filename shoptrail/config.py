@@ -51,6 +51,9 @@ class Settings:
     search_trials: int = 20
     max_trees: int = 2000
     experiment_trees: int = 200
+    # Models fitted at the same time: each is a chain of short jobs that alone leaves a cluster
+    # idle between them. Every running fit caches its rows.
+    parallel_fits: int = 4
     # A user set of at most this many rows (16 MB of longs) may be broadcast.
     broadcast_rows: int = 2_000_000
 

@@ -5,10 +5,12 @@ from __future__ import annotations
 import math
 import random
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
@@ -122,6 +124,7 @@ class TreeParams:
             featureSubsetStrategy=share,
             seed=seed,
             maxBins=self.max_bins,
+            validationTol=0.0,  # stop when the held-out loss gets worse, not when it slows down
             checkpointInterval=10,
         )
         return model.setValidationIndicatorCol(early_stop_column) if early_stop_column else model
@@ -147,9 +150,10 @@ def probability() -> Column:
 
 
 def score_rows(model: PipelineModel, rows: DataFrame, cfg: Settings, name: str = "score") -> DataFrame:
-    """The input rows with the probability of label 1."""
-    scored = model.transform(impute(rows, cfg)).select(*_keys(rows), probability().alias("__p"))
-    return scored.withColumnRenamed("__p", name)
+    """Keys and label of the input rows, as they were before imputation, with the probability of 1."""
+    kept = rows.withColumn("kept", F.struct(*_keys(rows)))
+    scored = model.transform(impute(kept, cfg))
+    return scored.select("kept.*", probability().alias(name))
 
 
 def _keys(rows: DataFrame) -> list[str]:
@@ -187,7 +191,7 @@ def tree_count(model: PipelineModel) -> int:
 
 def split_counts(model: PipelineModel, cfg: Settings) -> DataFrame:
     """feature -> number of splits, read from the saved nodes of the trees."""
-    spark = SparkSession.active()
+    spark = SparkSession.builder.getOrCreate()
     path = fresh_path(spark, "trees")
     model.stages[-1].write().save(path)
     nodes = spark.read.parquet(f"{path}/data")
@@ -237,24 +241,32 @@ def folded(pool: DataFrame, cfg: Settings) -> DataFrame:
     return materialize(with_fold(pool, cfg), "folded")
 
 
+def together(jobs: Sequence[Callable], cfg: Settings) -> list:
+    """Results of independent driver-side jobs, several at a time, in the order given."""
+    with ThreadPoolExecutor(max(1, cfg.parallel_fits)) as workers:
+        waiting = [workers.submit(inheritable_thread_target(job)) for job in jobs]
+        return [w.result() for w in waiting]
+
+
 def cross_validate_trees(rows: DataFrame, cfg: Settings, params: TreeParams, trees: int) -> CrossValidation:
     """One boosted model per fold, stopped early on that fold, scoring that fold."""
-    parts, best, importance = [], [], []
-    for fold in range(cfg.folds):
+
+    def one(fold: int):
         held_out = F.col("fold") == fold
         model = fit_trees(rows.withColumn("held_out", held_out), cfg, params, trees, "held_out")
-        parts.append(score_rows(model, rows.filter(held_out), cfg))
-        best.append(tree_count(model))
-        importance.append(split_counts(model, cfg))
-    scores = materialize(reduce(DataFrame.unionByName, parts), "held-out-scores")
-    return CrossValidation(scores, best, mean_importance(importance))
+        return score_rows(model, rows.filter(held_out), cfg), tree_count(model), split_counts(model, cfg)
+
+    done = together([partial(one, k) for k in range(cfg.folds)], cfg)
+    scores = materialize(reduce(DataFrame.unionByName, [d[0] for d in done]), "held-out-scores")
+    return CrossValidation(scores, [d[1] for d in done], mean_importance([d[2] for d in done]))
 
 
 def cross_validate_linear(rows: DataFrame, cfg: Settings) -> CrossValidation:
-    parts = []
-    for fold in range(cfg.folds):
+    def one(fold: int):
         model = fit_linear(rows.filter(F.col("fold") != fold), cfg)
-        parts.append(score_rows(model, rows.filter(F.col("fold") == fold), cfg))
+        return score_rows(model, rows.filter(F.col("fold") == fold), cfg)
+
+    parts = together([partial(one, k) for k in range(cfg.folds)], cfg)
     return CrossValidation(materialize(reduce(DataFrame.unionByName, parts), "held-out-scores"))
 
 
@@ -264,12 +276,15 @@ def search_params(
     """Random search on one fold: a record per trial, best AUC first, earlier trial on ties."""
     held_out = F.col("fold") == tuning_fold
     marked = rows.withColumn("held_out", held_out)
-    records = []
-    for number, params in enumerate(draw_params(cfg, trials or cfg.search_trials)):
+
+    def one(number: int, params: TreeParams) -> dict:
         model = fit_trees(marked, cfg, params, trees, "held_out")
         scored = materialize(score_rows(model, rows.filter(held_out), cfg), "trial-scores")
         area = metric_values(scored)["auc"]
-        records.append({"trial": number, "auc": area, "best_trees": tree_count(model), "params": params})
+        return {"trial": number, "auc": area, "best_trees": tree_count(model), "params": params}
+
+    drawn = draw_params(cfg, trials or cfg.search_trials)
+    records = together([partial(one, i, p) for i, p in enumerate(drawn)], cfg)
     return sorted(records, key=lambda r: (r["auc"] is None, -(r["auc"] or 0.0), r["trial"]))
 
 
@@ -326,23 +341,23 @@ def compare_models(pool: DataFrame, validation: DataFrame, cfg: Settings, trees:
 def sampling_experiment(pool: DataFrame, validation: DataFrame, cfg: Settings, trees: int | None = None) -> DataFrame:
     """Full pool against buyers-only rows, boosted and logistic, on the same validation rows."""
     subsets = {"train_pool": pool, "train_purchaser": materialize(positive_users_rows(pool), "buyers-only")}
-    records = []
-    for subset, rows in subsets.items():
-        fits = {
-            "boosted": fit_trees(rows, cfg, TreeParams(), trees or cfg.experiment_trees),
-            "logistic": fit_linear(rows, cfg),
+    fitters = {
+        "boosted": lambda rows: fit_trees(rows, cfg, TreeParams(), trees or cfg.experiment_trees),
+        "logistic": lambda rows: fit_linear(rows, cfg),
+    }
+
+    def one(subset: str, name: str) -> dict:
+        model = fitters[name](subsets[subset])
+        values = metric_values(materialize(score_rows(model, validation, cfg), "val-scores"))
+        return {
+            "model": name,
+            "scaffold": subset,
+            "val_auc": values["auc"],
+            "val_log_loss": values["log_loss"],
+            "val_mean_prob": values["mean_prob"],
         }
-        for name, model in fits.items():
-            values = metric_values(materialize(score_rows(model, validation, cfg), "val-scores"))
-            records.append(
-                {
-                    "model": name,
-                    "scaffold": subset,
-                    "val_auc": values["auc"],
-                    "val_log_loss": values["log_loss"],
-                    "val_mean_prob": values["mean_prob"],
-                }
-            )
+
+    records = together([partial(one, subset, name) for subset in subsets for name in fitters], cfg)
     columns = "model string, scaffold string, val_auc double, val_log_loss double, val_mean_prob double"
     return comparison_table(pool.sparkSession, records, columns)
 
