@@ -192,7 +192,7 @@ CROSS JOIN (SELECT DISTINCT category_l1 FROM clean)""",
 )
 def j5_full(spark, folder):
     events = stored_clean(spark, folder)
-    return P.scaffold(_pool_of(events).select(USER_KEY), P.known_categories(events))
+    return P.full_scaffold(_pool_of(events).select(USER_KEY), events)
 
 
 @check("c5_labelled_scaffold", "SELECT user_id, split, category_l1, label FROM labelled", "labelled")
@@ -260,5 +260,5 @@ GROUP BY category_l1 HAVING sum(label) >= 45""",
 def c9(spark, folder):
     events = stored_clean(spark, folder)
     train, _ = P.split_users(_pool_of(events), CFG)
-    rows = P.labelled_scaffold(train.select(USER_KEY), P.label_pairs(events, CFG), P.known_categories(events))
-    return P.category_support(rows, 45)
+    rows = P.full_scaffold(train.select(USER_KEY), events)
+    return P.category_support(P.attach_labels(rows, P.label_pairs(events, CFG)), 45)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shoptrail.config import CATEGORY, PRIOR, USER_KEY, Settings
 from shoptrail.operators.metrics import log_loss_of, metric_values
 from shoptrail.operators.population import positive_users_rows, with_fold
-from shoptrail.session import fresh_path, materialize
+from shoptrail.session import fresh_path, materialize, work_dir
 
 # Fixed value: what a missing number is replaced with.
 MISSING = -1.0
@@ -165,6 +165,7 @@ def _keys(rows: DataFrame) -> list[str]:
 def fit_trees(
     rows: DataFrame, cfg: Settings, params: TreeParams, trees: int, early_stop_column: str | None = None
 ) -> PipelineModel:
+    work_dir(rows.sparkSession)  # boosting cuts its lineage there every ten trees
     stages = [*tree_inputs(cfg), params.classifier(trees, cfg.seed, early_stop_column)]
     return Pipeline(stages=stages).fit(impute(rows, cfg))
 

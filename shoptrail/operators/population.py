@@ -13,6 +13,9 @@ from shoptrail.functions.hashing import fold_number
 from shoptrail.operators.sampling import HashCut, exact_cut, split_share
 from shoptrail.session import materialize
 
+# A large vocabulary is joined in this many user blocks times this many category blocks.
+SCAFFOLD_BLOCKS = 32
+
 
 def label_pairs(events: DataFrame, cfg: Settings) -> DataFrame:
     """(user, category) pairs with a purchase in the label window."""
@@ -101,15 +104,25 @@ def scaffold(users: DataFrame, categories: Sequence[str]) -> DataFrame:
     return users.withColumn(CATEGORY, F.explode(F.array(*[F.lit(c) for c in categories])))
 
 
-def known_categories(events: DataFrame, most: int = 10_000) -> list[str]:
-    """The category vocabulary of the log, for a scaffold over all of them.
+def full_scaffold(users: DataFrame, events: DataFrame, most: int = 10_000) -> DataFrame:
+    """Every user with every category found in the log.
 
-    It becomes an array literal, so a vocabulary beyond ``most`` is an error, not a cut.
+    A checked, small vocabulary becomes an array literal. A larger one is joined: both sides are
+    cut into blocks, and each pair of blocks meets once, so the work is spread evenly and every
+    pair appears exactly once.
     """
-    names = events.select(CATEGORY).filter(F.col(CATEGORY).isNotNull()).distinct().limit(most + 1).collect()
-    if len(names) > most:
-        raise ValueError(f"more than {most} categories: choose the predicted ones in Settings.categories")
-    return sorted(row[CATEGORY] for row in names)
+    names = events.select(CATEGORY).filter(F.col(CATEGORY).isNotNull()).distinct()
+    found = names.limit(most + 1).collect()
+    if len(found) <= most:
+        return scaffold(users, sorted(row[CATEGORY] for row in found))
+
+    def block(key: str):
+        return F.pmod(F.xxhash64(key), F.lit(SCAFFOLD_BLOCKS))
+
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SCAFFOLD_BLOCKS - 1).cast("bigint")))
+    left = users.withColumn("user_block", block(USER_KEY)).withColumn("category_block", every)
+    right = names.withColumn("category_block", block(CATEGORY)).withColumn("user_block", every)
+    return left.join(right, ["user_block", "category_block"]).select(*users.columns, CATEGORY)
 
 
 def attach_labels(rows: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -80,11 +80,10 @@ def test_folds_keep_users_together(spark):
     assert rows.select("fold").distinct().count() == 5
 
 
-def test_known_categories_refuses_an_unbounded_vocabulary(spark):
-    events = _ten_users(spark)
-    assert P.known_categories(events) == ["a", "c"]
-    with pytest.raises(ValueError):
-        P.known_categories(events, most=1)
+@pytest.mark.parametrize("most", [10, 1], ids=["literal", "joined"])
+def test_full_scaffold_has_every_pair_once(spark, most):
+    rows = P.full_scaffold(_users(spark, 50), _ten_users(spark), most).collect()
+    assert sorted((r.user_id, r.category_l1) for r in rows) == [(u, c) for u in range(1, 51) for c in "ac"]
 
 
 def test_cold_share_of_sampled(spark):
