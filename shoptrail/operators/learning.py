@@ -242,10 +242,10 @@ def folded(pool: DataFrame, cfg: Settings) -> DataFrame:
     return materialize(with_fold(pool, cfg), "folded")
 
 
-def together(jobs: Sequence[Callable], cfg: Settings) -> list:
+def together(spark: SparkSession, jobs: Sequence[Callable], cfg: Settings) -> list:
     """Results of independent driver-side jobs, several at a time, in the order given."""
     with ThreadPoolExecutor(max(1, cfg.parallel_fits)) as workers:
-        waiting = [workers.submit(inheritable_thread_target(job)) for job in jobs]
+        waiting = [workers.submit(inheritable_thread_target(spark)(job)) for job in jobs]
         return [w.result() for w in waiting]
 
 
@@ -257,7 +257,7 @@ def cross_validate_trees(rows: DataFrame, cfg: Settings, params: TreeParams, tre
         model = fit_trees(rows.withColumn("held_out", held_out), cfg, params, trees, "held_out")
         return score_rows(model, rows.filter(held_out), cfg), tree_count(model), split_counts(model, cfg)
 
-    done = together([partial(one, k) for k in range(cfg.folds)], cfg)
+    done = together(rows.sparkSession, [partial(one, k) for k in range(cfg.folds)], cfg)
     scores = materialize(reduce(DataFrame.unionByName, [d[0] for d in done]), "held-out-scores")
     return CrossValidation(scores, [d[1] for d in done], mean_importance([d[2] for d in done]))
 
@@ -267,7 +267,7 @@ def cross_validate_linear(rows: DataFrame, cfg: Settings) -> CrossValidation:
         model = fit_linear(rows.filter(F.col("fold") != fold), cfg)
         return score_rows(model, rows.filter(F.col("fold") == fold), cfg)
 
-    parts = together([partial(one, k) for k in range(cfg.folds)], cfg)
+    parts = together(rows.sparkSession, [partial(one, k) for k in range(cfg.folds)], cfg)
     return CrossValidation(materialize(reduce(DataFrame.unionByName, parts), "held-out-scores"))
 
 
@@ -285,7 +285,7 @@ def search_params(
         return {"trial": number, "auc": area, "best_trees": tree_count(model), "params": params}
 
     drawn = draw_params(cfg, trials or cfg.search_trials)
-    records = together([partial(one, i, p) for i, p in enumerate(drawn)], cfg)
+    records = together(rows.sparkSession, [partial(one, i, p) for i, p in enumerate(drawn)], cfg)
     return sorted(records, key=lambda r: (r["auc"] is None, -(r["auc"] or 0.0), r["trial"]))
 
 
@@ -358,7 +358,8 @@ def sampling_experiment(pool: DataFrame, validation: DataFrame, cfg: Settings, t
             "val_mean_prob": values["mean_prob"],
         }
 
-    records = together([partial(one, subset, name) for subset in subsets for name in fitters], cfg)
+    jobs = [partial(one, subset, name) for subset in subsets for name in fitters]
+    records = together(pool.sparkSession, jobs, cfg)
     columns = "model string, scaffold string, val_auc double, val_log_loss double, val_mean_prob double"
     return comparison_table(pool.sparkSession, records, columns)
 
