@@ -41,14 +41,14 @@ def work_dir(spark: SparkSession) -> str:
     Only a local session without that setting gets a folder of its own; on a cluster a
     machine-local folder would be lost with its executor, so there it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="shoptrail-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(shared)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared)
     return shared.rstrip("/")
 
 
