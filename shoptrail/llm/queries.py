@@ -6,13 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import risk_rules
+from shoptrail.llm import bpe, risk_rules, simple8b
 from shoptrail.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def tokenizer(name: str) -> str:
+    """The path of a public tokenizer file; any other path may be passed to the operators."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def register(f):
         QUERIES[name] = f
@@ -27,3 +34,13 @@ def query(name: str, sql: str | None = None):
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return risk_rules.judge(documents(spark, folder), labels)
+
+
+@query("op4_token_files")
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return simple8b.encode_to_files(documents(spark, folder), tokenizer("byte_bpe_50k.json"), end_id=2)
+
+
+@query("op6_bpe")
+def word_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digests(documents(spark, folder), tokenizer("word_bpe_49k.json"))
