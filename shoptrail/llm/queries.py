@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe, risk_rules, simple8b
+from shoptrail.llm import bpe, ngram_join, risk_rules, simple8b, toxicity
 from shoptrail.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,3 +44,15 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_bpe")
 def word_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(documents(spark, folder), tokenizer("word_bpe_49k.json"))
+
+
+@query("op5_toxicity")
+def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
+    docs = documents(spark, folder)
+    return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
+
+
+@query("op9_ngram_join")
+def ngram_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """Five-word windows, similarity 0.8: class, its size and the number of links of every document."""
+    return ngram_join.classes(documents(spark, folder)).drop("fp")
