@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe, ngram_join, risk_rules, simple8b, toxicity
+from shoptrail.llm import bpe, ngram_join, risk_rules, simple8b, suffix_dedup, toxicity
 from shoptrail.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,8 @@ def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
 def ngram_classes(spark: SparkSession, folder: str) -> DataFrame:
     """Five-word windows, similarity 0.8: class, its size and the number of links of every document."""
     return ngram_join.classes(documents(spark, folder)).drop("fp")
+
+
+@query("op3_suffix_dedup")
+def suffix_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.digests(documents(spark, folder))
