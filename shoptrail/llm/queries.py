@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe, decontaminate, ngram_join, risk_rules, simple8b, suffix_dedup, toxicity
+from shoptrail.llm import bpe, chunk_dedup, decontaminate, ngram_join, risk_rules, simple8b, suffix_dedup, toxicity
 from shoptrail.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def suffix_removal(spark: SparkSession, folder: str) -> DataFrame:
 def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     """Every benchmark item in every document, with at most 20 % of its words edited."""
     return decontaminate.find_leaks(documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
+@query("op8_chunk_dedup")
+def chunk_removal(spark: SparkSession, folder: str) -> DataFrame:
+    return chunk_dedup.digests(documents(spark, folder))
