@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe, chunk_dedup, decontaminate, ngram_join, risk_rules, simple8b, suffix_dedup, toxicity
+from shoptrail.llm import bpe, chunk_dedup, decontaminate, ngram_join, ngram_lm, risk_rules, simple8b, suffix_dedup, toxicity
 from shoptrail.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,8 @@ def benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_chunk_dedup")
 def chunk_removal(spark: SparkSession, folder: str) -> DataFrame:
     return chunk_dedup.digests(documents(spark, folder))
+
+
+@query("op1_ngram_lm")
+def language_model(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_lm.score(documents(spark, folder))
