@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe, chunk_dedup, decontaminate, ngram_join, ngram_lm, risk_rules, simple8b, suffix_dedup, toxicity
+from shoptrail.llm import bpe, chunk_dedup, decontaminate, html_blocks, ngram_join, ngram_lm, risk_rules, simple8b, suffix_dedup, toxicity
 from shoptrail.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +77,8 @@ def chunk_removal(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_ngram_lm")
 def language_model(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_lm.score(documents(spark, folder))
+
+
+@query("op7_html_text")
+def page_texts(spark: SparkSession, folder: str) -> DataFrame:
+    return html_blocks.extract(spark.read.parquet(f"{folder}/pages.parquet"))
