@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from shoptrail.llm.common import prepare, whole_texts
 
@@ -205,9 +206,12 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
 
 
 def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
-    """doc_id, columns named in ``keep``, text, ids (array of int) and decoded text of every row."""
+    """doc_id, text, columns named in ``keep``, ids (array of int) and decoded text of every row.
+
+    A column of ``docs`` that is called ids or decoded gives way to the result.
+    """
     prepare(docs.sparkSession)
-    rows = whole_texts(docs, *[c for c in keep if c not in ("doc_id", "text")])
+    rows = whole_texts(docs, *[f"`{c}`" for c in keep if c not in ("doc_id", "text", "ids", "decoded")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, coded in _coded(batches, path):
@@ -215,5 +219,5 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, ids, pa.array([b for _, b in coded])], names=[*part.schema.names, "ids", "decoded"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
-    return rows.mapInArrow(run, f"{schema}, ids array<int>, decoded string")
+    schema = StructType([*rows.schema.fields]).add("ids", ArrayType(IntegerType())).add("decoded", StringType())
+    return rows.mapInArrow(run, schema)

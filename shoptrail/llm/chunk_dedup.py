@@ -17,9 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from shoptrail.llm.common import flat, prepare, slabs, whole_texts
+from shoptrail.llm.common import flat, prepare, slabs, unpacked, whole_texts, with_rest
+from shoptrail.llm.suffix_dedup import decoded
 from shoptrail.session import materialize
 
 _GEAR = np.random.default_rng(65537).integers(0, 2**32, 256, dtype=np.uint32)
@@ -87,17 +88,19 @@ def chunks(rows: DataFrame, cfg: ChunkSettings) -> DataFrame:
     return rows.select("doc_id", "text", "mark").mapInArrow(run, ddl)
 
 
-def dedup(docs: DataFrame, *keep: str, cfg: ChunkSettings | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, columns named in ``keep``, n_bytes, n_chunks_cut, n_removed, n_spans, kept.
+def dedup(docs: DataFrame, cfg: ChunkSettings | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_bytes, n_chunks_cut, n_removed, n_spans, kept (binary).
 
     A null text is empty. Rows with one doc_id are no earlier documents to each other; a null doc_id comes after all
     others. Chunks are written once; a digest's least id comes from a partial aggregation, so a chunk that a
     third of all documents share is counted in every task first, and the join back may be split by adaptive execution.
     """
-    cfg = cfg or ChunkSettings()
-    prepare(docs.sparkSession)
-    more = [c for c in keep if c not in ("doc_id", "text")]
-    rows = whole_texts(docs, *more).withColumn("mark", F.xxhash64("text"))
+    return _marked(whole_texts(docs), ["doc_id"], cfg or ChunkSettings())
+
+
+def _marked(rows: DataFrame, kept: list[str], cfg: ChunkSettings) -> DataFrame:
+    prepare(rows.sparkSession)
+    rows = rows.withColumn("mark", F.xxhash64("text"))
     found = materialize(chunks(rows, cfg), "chunks")
     order = F.coalesce("doc_id", F.lit(2**63 - 1))
     first = found.groupBy("digest").agg(F.min(order).alias("first"), F.max(order).alias("last")).filter("first < last")
@@ -106,7 +109,6 @@ def dedup(docs: DataFrame, *keep: str, cfg: ChunkSettings | None = None) -> Data
     listed = again.groupBy("doc_id", "mark").agg(F.collect_set(F.struct("place", "size")).alias("repeats"))
     match = [F.col("r.doc_id").eqNullSafe(F.col("l.doc_id")), F.col("r.mark") == F.col("l.mark")]
     joined = rows.alias("r").join(listed.alias("l"), match, "left").select("r.*", "l.repeats").drop("mark")
-    kept = ["doc_id", *more]
     counts = ("n_bytes", "n_chunks_cut", "n_removed", "n_spans")
     schema = StructType([*[rows.schema[c] for c in kept], *[StructField(c, LongType()) for c in counts],
                          StructField("kept", BinaryType())])
@@ -136,15 +138,11 @@ def dedup(docs: DataFrame, *keep: str, cfg: ChunkSettings | None = None) -> Data
 
 
 def digests(docs: DataFrame, cfg: ChunkSettings | None = None) -> DataFrame:
-    out = dedup(docs, cfg=cfg)
+    out = dedup(docs, cfg)
     return out.select("doc_id", "n_bytes", "n_chunks_cut", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def remove_repeats(docs: DataFrame, cfg: ChunkSettings | None = None) -> DataFrame:
-    """``docs`` with its columns, texts without the repeats; parts of cut characters go too."""
-
-    @F.pandas_udf(StringType())
-    def decoded(column):
-        return column.map(lambda b: bytes(b).decode("utf-8", "ignore"))
-
-    return dedup(docs, *docs.columns, cfg=cfg).withColumn("text", decoded("kept")).select(*docs.columns)
+    """``docs`` with its columns, texts without the repeats; parts of cut characters go too, n_chars is counted anew."""
+    marked = _marked(with_rest(docs), ["rest"], cfg or ChunkSettings())
+    return unpacked(marked.withColumn("kept", decoded("kept")), docs, F.col("kept"))

@@ -40,6 +40,26 @@ def whole_texts(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text, *more)
 
 
+def with_rest(docs: DataFrame) -> DataFrame:
+    """As ``whole_texts``, with all columns of ``docs`` as they are in one struct ``rest``, where no name clashes."""
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest")
+    text = F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text, rest)
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """The columns of ``docs`` again, from ``rest`` and the new text; n_chars, where there is one, is counted anew."""
+    out = []
+    for name in docs.columns:
+        column = F.col("rest").getField(name)
+        if name == "text":
+            column = text
+        elif name == "n_chars":
+            column = F.char_length(text).cast(docs.schema[name].dataType)
+        out.append(column.alias(name))
+    return rows.select(*out)
+
+
 def id_remainder(by: int) -> Column:
     """crc32 of the doc_id as text, modulo ``by``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % by

@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from shoptrail.llm.common import Hasher, chain, flat, lower_ascii, mix, prepare, slabs, whole_texts, word_spans
 from shoptrail.llm.components import components
@@ -252,7 +253,10 @@ def classes(docs: DataFrame, cfg: JoinSettings | None = None) -> DataFrame:
     and is its own class. Repeated and null ids are allowed: rows are told apart by their words. Other columns
     are ignored.
     """
-    cfg = cfg or JoinSettings()
+    return _classes(docs, cfg or JoinSettings()).drop("component")
+
+
+def _classes(docs: DataFrame, cfg: JoinSettings) -> DataFrame:
     signed = materialize(signatures(docs, cfg), "signatures")
     texts = materialize(
         signed.filter("fp <> ''").groupBy("fp")
@@ -266,10 +270,10 @@ def classes(docs: DataFrame, cfg: JoinSettings | None = None) -> DataFrame:
         "component", F.coalesce("component", "fp"))
     totals = named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("weight").alias("class_size"))
     table = materialize(named.join(totals, "component").select(
-        "fp", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
+        "fp", "component", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
     rows = signed.select("doc_id", "fp").join(table, "fp", "left")
     return rows.select(
-        "doc_id", "fp", F.coalesce("class_id", "doc_id").alias("class_id"),
+        "doc_id", "fp", "component", F.coalesce("class_id", "doc_id").alias("class_id"),
         F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
 
@@ -279,10 +283,10 @@ def keep_one(docs: DataFrame, cfg: JoinSettings | None = None) -> DataFrame:
 
     Rows without words all stay. Of rows with one id and the same words one stays.
     """
-    found = classes(docs, cfg)
-    firsts = found.filter("fp <> '' and doc_id <=> class_id").select("doc_id", "fp", "class_id")
+    found = _classes(docs, cfg or JoinSettings())
+    firsts = found.filter("fp <> '' and doc_id <=> class_id")
     # two texts of a class may repeat its least id: the lesser fingerprint stays
-    firsts = materialize(firsts.groupBy("class_id").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select("k.*"), "kept")
+    firsts = materialize(firsts.groupBy("component").agg(F.min(F.struct("doc_id", "fp")).alias("k")).select("k.*"), "kept")
     prepare(docs.sparkSession)
     names = docs.columns
 
@@ -290,11 +294,13 @@ def keep_one(docs: DataFrame, cfg: JoinSettings | None = None) -> DataFrame:
         for batch in batches:
             text = batch.column(names.index("text"))
             prints = fingerprints(pa.array([t or "" for t in text.to_pylist()], pa.string()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints)], names=[*batch.schema.names, "_fp"])
-
-    from pyspark.sql.types import StringType, StructType
-
-    marked = docs.mapInArrow(run, StructType([*docs.schema.fields]).add("_fp", StringType()))
-    worded = marked.filter("_fp <> ''").dropDuplicates(["doc_id", "_fp"]).alias("d")
-    kept = worded.join(firsts.alias("k"), F.expr("d.doc_id <=> k.doc_id and d._fp = k.fp"), "left_semi")
-    return kept.union(marked.filter("_fp = ''")).drop("_fp")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(prints)], names=[*batch.schema.names, mark])
+
+    mark = "_fp"
+    while mark in names:
+        mark += "_"
+    marked = docs.mapInArrow(run, StructType([*docs.schema.fields]).add(mark, StringType()))
+    worded = marked.filter(F.col(mark) != "").dropDuplicates(["doc_id", mark])
+    firsts = firsts.select(F.col("doc_id").alias("k_id"), F.col("fp").alias("k_fp"))
+    kept = worded.join(firsts, worded["doc_id"].eqNullSafe(firsts["k_id"]) & (worded[mark] == firsts["k_fp"]), "left_semi")
+    return kept.union(marked.filter(F.col(mark) == "")).drop(mark)

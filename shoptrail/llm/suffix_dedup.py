@@ -18,16 +18,17 @@ share costs one row per batch. All steps read the same exchange of the documents
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from shoptrail.llm.common import SLAB_BYTES, Hasher, flat, prepare, slabs, text_bytes, whole_texts
+from shoptrail.llm.common import SLAB_BYTES, Hasher, flat, prepare, slabs, text_bytes, unpacked, whole_texts, with_rest
 
 WIDTH, GRAM = 50, 32
 BATCH_BYTES, SHARD_BYTES, BUCKET_BYTES, SAMPLE_BYTES = 8 << 20, 24 << 20, 8 << 20, 4 << 20
@@ -330,15 +331,17 @@ def sample_splitters(rows: DataFrame, total: int) -> np.ndarray:
     return np.unique(found[(np.arange(1, buckets) * len(found)) // buckets])
 
 
-def dedup(docs: DataFrame, *keep: str) -> DataFrame:
-    """One row per row of ``docs``: doc_id, columns named in ``keep``, n_bytes, n_removed, n_spans, kept (binary).
+def dedup(docs: DataFrame) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (binary).
 
     A null text is empty. Rows with one doc_id are no earlier documents to each other; a null doc_id comes after all
     others. Texts under 50 bytes keep everything; an empty table gives an empty result.
     """
-    prepare(docs.sparkSession)
-    more = [c for c in keep if c not in ("doc_id", "text")]
-    rows = whole_texts(docs, *more)
+    return _marked(whole_texts(docs), ["doc_id"])
+
+
+def _marked(rows: DataFrame, kept: list[str]) -> DataFrame:
+    prepare(rows.sparkSession)
     total = text_bytes(rows)
     shards = max(1, -(-total // SHARD_BYTES))
     splitters = sample_splitters(rows, total)
@@ -349,11 +352,8 @@ def dedup(docs: DataFrame, *keep: str) -> DataFrame:
     answers = asked.groupBy("target").applyInArrow(answer_shards, _REQUEST_DDL)
     contexts = by_batch.cogroup(answers.groupBy("batch")).applyInArrow(ask_buckets(shards, splitters), _REQUEST_DDL)
     heads = contexts.groupBy("target").applyInArrow(answer_buckets, _REQUEST_DDL)
-    kept = ["doc_id", *more]
     fields = [rows.schema[c] for c in kept] + [StructField(c, LongType()) for c in ("n_bytes", "n_removed", "n_spans")]
     schema = StructType([*fields, StructField("kept", BinaryType())])
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     return by_batch.cogroup(heads.groupBy("batch")).applyInArrow(mark(splitters, kept, to_arrow_schema(schema)), schema)
 
 
@@ -367,13 +367,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     A character of which only some bytes go loses the rest too. n_chars, where there is one, is counted anew.
     """
-    from pyspark.sql.functions import pandas_udf
+    marked = _marked(with_rest(docs), ["rest"])
+    return unpacked(marked.withColumn("kept", decoded("kept")), docs, F.col("kept"))
 
-    @pandas_udf(StringType())
-    def decoded(column):
-        return column.map(lambda b: bytes(b).decode("utf-8", "ignore"))
 
-    out = dedup(docs, *docs.columns).withColumn("text", decoded("kept"))
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+@F.pandas_udf(StringType())
+def decoded(column: pd.Series) -> pd.Series:
+    return column.map(lambda b: bytes(b).decode("utf-8", "ignore"))

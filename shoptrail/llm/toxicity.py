@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.llm.common import id_remainder, prepare, whole_texts
@@ -174,16 +174,20 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     return whole_texts(docs).join(F.broadcast(known), "doc_id")
 
 
+def _beginnings(words: Column, n: int) -> Column:
+    long = F.filter(words, lambda w: F.char_length(w) >= n)
+    return F.transform(long, lambda w: F.concat(F.substring(w, 1, n), F.lit("*")))
+
+
 def learn_entries(rows: DataFrame) -> dict[str, float]:
     """Words and beginnings with their log odds between toxic and other rows.
 
     An entry is in ``LEAST_SHARE`` of the toxic rows (three at least), and its odds ratio exceeds 4 at the lower
-    end of a one-sided 95 % interval. Counting is one aggregation over the distinct terms of each row.
+    end of a one-sided 95 % interval. Words of the closed classes are no entries. Counting is one aggregation
+    over the distinct terms of each row.
     """
     words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.char_length(w) >= 3))
-    starts = [F.transform(F.filter(words, lambda w, n=n: F.char_length(w) >= n),
-                          lambda w, n=n: F.concat(F.substring(w, 1, n), F.lit("*"))) for n in PREFIXES]
-    terms = F.array_distinct(F.concat(words, *starts))
+    terms = F.array_distinct(F.concat(words, *[_beginnings(words, n) for n in PREFIXES]))
     counts = rows.agg(F.count_if(F.col("toxic") == 1).alias("t"), F.count_if(F.col("toxic") == 0).alias("c")).first()
     if not counts["t"] or not counts["c"]:
         return {}
@@ -196,7 +200,8 @@ def learn_entries(rows: DataFrame) -> dict[str, float]:
         .filter(F.col("t") >= least).withColumn("odds", odds)
         .filter(F.col("odds") - 1.645 * F.sqrt(1 / toxic + 1 / clean) > LEAST_RATIO)
     )
-    entries = {r["term"]: round(r["odds"], 6) for r in found.select("term", "odds").collect()}
+    entries = {r["term"]: round(r["odds"], 6) for r in found.select("term", "odds").collect()
+               if r["term"] not in _CLASSES}
     return entries | {w: THREAT_WEIGHT for w in THREATS if w not in entries}
 
 
