@@ -1,4 +1,4 @@
-"""shoptrail: purchase-propensity analytics over shopper event logs, on Spark."""
+"""shoptrail: buyer-intent analytics over shopper event logs, on Spark."""
 
 from shoptrail.config import Settings
 from shoptrail.session import build_session, materialize, tune

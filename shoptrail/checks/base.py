@@ -271,4 +271,4 @@ def with_tables(sql: str, names: list[str]) -> str:
         need(name)
     if not ordered:
         return sql.strip()
-    return "WITH " + ",\n".join(f"{n} AS ({TABLES[n][1]})" for n in ordered) + "\n" + sql.strip()
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({TABLES[n][1]})" for n in ordered) + "\n" + sql.strip()

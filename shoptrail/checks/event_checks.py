@@ -80,9 +80,17 @@ def s10(spark, folder):
     return clean(spark, folder).groupBy(CATEGORY).agg(F.count("*").alias("rows")).join(names, CATEGORY, "left_semi")
 
 
-@check("s11_schema")
+_TYPES = {"event_time": "timestamp_ntz", "event_type": "string", "product_id": "bigint", "category_id": "bigint",
+          "category_code": "string", "brand": "string", "price": "double", "user_id": "bigint", "user_session": "string"}
+
+
+@check(
+    "s11_schema",
+    " UNION ALL ".join(f"SELECT '{n}' AS name, '{t}' AS type, count({n}) AS known FROM raw" for n, t in _TYPES.items()),
+    "raw",
+)
 def s11(spark, folder):
-    return schema_table(spark, raw(spark, folder))
+    return schema_table(spark, raw(spark, folder), with_counts=True)
 
 
 # --- row expressions ------------------------------------------------------------------------------
@@ -242,7 +250,7 @@ def p25(spark, folder):
     "raw",
 )
 def j1(spark, folder):
-    events = raw(spark, folder)
+    events = stored_raw(spark, folder)
     return cleaning.keep_view_users(events, events)
 
 
@@ -288,7 +296,7 @@ def a12(spark, folder):
 
 @check("c1_clean_events", "SELECT * FROM clean", "clean")
 def c1(spark, folder):
-    return clean_events(raw(spark, folder), CFG)
+    return clean_events(stored_raw(spark, folder), CFG)
 
 
 @check("c1_clean_lazy", "SELECT * FROM clean", "clean")
@@ -339,7 +347,7 @@ WHERE r.event_type = 'purchase' AND r.category_code IS NULL""",
     "raw",
 )
 def j6(spark, folder):
-    events = raw(spark, folder)
+    events = stored_raw(spark, folder)
     lost = cleaning.uncategorised_purchases(events).select("product_id")
     return lost.join(cleaning.first_known_code(events, "product_id"), "product_id")
 
@@ -352,7 +360,7 @@ SELECT product_id FROM raw WHERE event_type = 'purchase' AND category_code IS NU
     "raw",
 )
 def j2_lost(spark, folder):
-    events = raw(spark, folder)
+    events = stored_raw(spark, folder)
     lost = cleaning.uncategorised_purchases(events).select("product_id")
     return lost.join(cleaning.first_known_code(events, "product_id"), "product_id", "left_anti")
 
@@ -365,7 +373,7 @@ FROM raw r LEFT JOIN ({_FIRST.format(key='product_id')}) k ON r.product_id = k.p
     "raw",
 )
 def a21_backfill(spark, folder):
-    return cleaning.backfill_category(raw(spark, folder), "product_id")
+    return cleaning.backfill_category(stored_raw(spark, folder), "product_id")
 
 
 # --- profiling ------------------------------------------------------------------------------------

@@ -236,11 +236,7 @@ def l13(spark, folder):
 
 def _importance(spark, folder) -> DataFrame:
     pool, _ = _pool_and_validation(spark, folder)
-    models = [
-        L.fit_trees(fold, CFG, SMALL, TREES)
-        for fold in (L.folded(pool, CFG).filter(F.col("fold") != k) for k in range(2))
-    ]
-    return L.mean_importance([L.split_counts(m, CFG) for m in models])
+    return L.cross_validate_trees(L.folded(pool, CFG), CFG, SMALL, TREES).importance
 
 
 @check("l14_split_importance")

@@ -32,6 +32,7 @@ class Settings:
     ``windows`` lists (suffix, inclusive start). The first is the whole history before the cutoff
     (start ``None``); it also names the user-level, brand and price columns. The last is the
     shortest; ratios are taken over the first and the last.
+    Fixed values: the default dates, shares, ratio, folds and model sizes.
     """
 
     cutoff: datetime = datetime(2019, 11, 1)

@@ -37,11 +37,14 @@ def view_users(events: DataFrame) -> DataFrame:
 
 
 def viewless_users(events: DataFrame) -> DataFrame:
-    """Users who never viewed anything: the few to remove, not the many to keep."""
+    """Users who never viewed anything: the few to remove, not the many to keep.
+
+    A missing event type is no view.
+    """
     return (
         events.filter(F.col(USER_KEY).isNotNull())
         .groupBy(USER_KEY)
-        .agg(F.max(is_kind("view")).alias("has_view"))
+        .agg(F.coalesce(F.max(is_kind("view")), F.lit(False)).alias("has_view"))
         .filter(~F.col("has_view"))
         .select(USER_KEY)
     )

@@ -43,10 +43,10 @@ def category_prior(rows: DataFrame, cfg: Settings, places: int | None = None) ->
 
 
 def attach_prior(rows: DataFrame, prior: DataFrame, fill_mean: bool = False) -> DataFrame:
-    """Adds ``cat_purchase_rate``. ``prior`` is bounded by the configured categories (see above),
-    so it is broadcast. With ``fill_mean`` an unseen category gets the mean of the rates.
+    """Adds ``cat_purchase_rate``. ``prior`` may be any table, so how it is joined is left to Spark: a small
+    stored one is broadcast. With ``fill_mean`` an unseen category gets the mean of the rates.
     """
-    joined = rows.join(F.broadcast(prior), CATEGORY, "left")
+    joined = rows.join(prior, CATEGORY, "left")
     if fill_mean:
         mean_rate = prior.agg(F.avg(PRIOR)).scalar()
         joined = joined.withColumn(PRIOR, F.coalesce(F.col(PRIOR), mean_rate))
@@ -130,16 +130,20 @@ class TreeParams:
         return model.setValidationIndicatorCol(early_stop_column) if early_stop_column else model
 
 
+# The ranges of the random search (leaves, rows per leaf, learning rate, row share, feature share).
+LEAVES, LEAF_ROWS, LEARNING_RATE, ROW_SHARE, FEATURE_SHARE = (15, 127), (20, 199), (0.02, 0.15), (0.6, 1.0), (0.6, 1.0)
+
+
 def draw_params(cfg: Settings, trials: int) -> list[TreeParams]:
-    """Seeded random search space. Leaf counts from 15 to 127 become the depth that holds them."""
+    """Seeded random search space. Leaf counts become the depth that holds them."""
     draw = random.Random(cfg.seed)
     return [
         TreeParams(
-            max_depth=math.ceil(math.log2(draw.randint(15, 127))),
-            min_instances=draw.randint(20, 199),
-            step_size=draw.uniform(0.02, 0.15),
-            subsampling=draw.uniform(0.6, 1.0),
-            feature_share=draw.uniform(0.6, 1.0),
+            max_depth=math.ceil(math.log2(draw.randint(*LEAVES))),
+            min_instances=draw.randint(*LEAF_ROWS),
+            step_size=draw.uniform(*LEARNING_RATE),
+            subsampling=draw.uniform(*ROW_SHARE),
+            feature_share=draw.uniform(*FEATURE_SHARE),
         )
         for _ in range(trials)
     ]
@@ -328,7 +332,8 @@ def compare_models(pool: DataFrame, validation: DataFrame, cfg: Settings, trees:
 
     started = time.monotonic()
     bare = [c for c in pool.columns if c != PRIOR]
-    record("naive", started, naive_scores(pool.select(*bare), prior), naive_scores(validation.select(*bare), prior))
+    naive = materialize(naive_scores(pool.select(*bare), prior), "naive-scores")
+    record("naive", started, naive, naive_scores(validation.select(*bare), prior))
     started = time.monotonic()
     linear = cross_validate_linear(rows, cfg)
     record("logistic", started, linear.scores, score_rows(fit_linear(pool, cfg), validation, cfg))

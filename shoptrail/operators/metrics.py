@@ -173,13 +173,16 @@ def score_summary(scored: DataFrame, score: str = "score") -> DataFrame:
 
 
 def score_histogram(scored: DataFrame, bins: int = 50, score: str = "score") -> DataFrame:
-    """Equal-width bins between the smallest and the largest score; the largest is in the last."""
-    smallest = scored.agg(F.min(score)).scalar()
-    largest = scored.agg(F.max(score)).scalar()
+    """Equal-width bins between the smallest and the largest score; the largest is in the last.
+
+    Rows are counted per score into a stored table, from which the bounds and the bins are taken.
+    """
+    counted = materialize(_counted(scored, score), "score-counts")
+    bounds = counted.agg(F.min("score").alias("low"), F.max("score").alias("high")).first()
+    smallest, largest = (F.lit(bounds[k]).cast("double") for k in ("low", "high"))
     # All scores equal: a unit interval around the value.
     low = F.when(smallest == largest, smallest - 0.5).otherwise(smallest)
     high = F.when(smallest == largest, largest + 0.5).otherwise(largest)
-    counted = _counted(scored, score)
     number = F.when(F.col("score") >= high, F.lit(bins)).otherwise(
         F.least(F.floor((F.col("score") - low) / (high - low) * bins) + 1, F.lit(bins))
     )

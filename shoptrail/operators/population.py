@@ -26,12 +26,13 @@ def label_pairs(events: DataFrame, cfg: Settings) -> DataFrame:
 def user_flags(events: DataFrame, cfg: Settings) -> DataFrame:
     """One row per user of the log: bought in the label window, active before the cutoff.
 
-    One aggregation answers what distinct sets and anti-joins between them would.
+    One aggregation answers what distinct sets and anti-joins between them would. A missing type or time
+    counts as neither.
     """
     bought = is_kind("purchase") & in_period(cfg.cutoff, cfg.target_end)
     return events.groupBy(USER_KEY).agg(
-        F.max(bought).alias("purchaser"),
-        F.max(in_period(end=cfg.cutoff)).alias("active_before"),
+        F.coalesce(F.max(bought), F.lit(False)).alias("purchaser"),
+        F.coalesce(F.max(in_period(end=cfg.cutoff)), F.lit(False)).alias("active_before"),
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.config import CATEGORY, DEDUP_KEY, KINDS, USER_KEY
 from shoptrail.functions.columns import in_period, is_kind, percent
+from shoptrail.session import materialize
 
 
 def overview(events: DataFrame) -> DataFrame:
@@ -49,9 +50,9 @@ def null_percent_by_type(events: DataFrame, columns: Sequence[str]) -> DataFrame
 
 
 def share_of_total(events: DataFrame, by: str) -> DataFrame:
-    """Rows per group and their share; the total is summed from the few group rows."""
-    counts = events.groupBy(by).agg(F.count("*").alias("count"))
-    total = events.agg(F.count("*").alias("n")).scalar()
+    """Rows per group and their share. Events are read once: the total is summed from the stored group rows."""
+    counts = materialize(events.groupBy(by).agg(F.count("*").alias("count")), "group-counts")
+    total = counts.agg(F.sum("count").alias("n")).scalar()
     return counts.withColumn("pct", percent(F.col("count"), total))
 
 
@@ -72,13 +73,14 @@ def daily_counts(events: DataFrame, kinds: Sequence[str] = KINDS) -> DataFrame:
 
 
 def conversion_funnel(events: DataFrame) -> DataFrame:
-    """Events and users by type, and both as a percentage of views."""
+    """Events and users by type, and both as a percentage of views. Events are read once."""
     funnel = events.groupBy("event_type").agg(
         F.count("*").alias("events"), F.count_distinct(USER_KEY).alias("unique_users")
     )
-    views = events.filter(is_kind("view"))
-    view_events = views.agg(F.count("*").alias("n")).scalar()
-    view_people = views.agg(F.count_distinct(USER_KEY).alias("n")).scalar()
+    funnel = materialize(funnel, "funnel")
+    views = funnel.filter(is_kind("view"))
+    view_events = views.agg(F.coalesce(F.sum("events"), F.lit(0)).alias("n")).scalar()
+    view_people = views.agg(F.coalesce(F.sum("unique_users"), F.lit(0)).alias("n")).scalar()
     return funnel.withColumns(
         {
             "pct_of_view_events": percent(F.col("events"), view_events),
@@ -115,7 +117,8 @@ def purchase_only_users(events: DataFrame) -> DataFrame:
     """Users who bought without a single view, from one aggregation per user."""
     return (
         events.groupBy(USER_KEY)
-        .agg(F.max(is_kind("purchase")).alias("bought"), F.max(is_kind("view")).alias("viewed"))
+        .agg(F.coalesce(F.max(is_kind("purchase")), F.lit(False)).alias("bought"),
+             F.coalesce(F.max(is_kind("view")), F.lit(False)).alias("viewed"))
         .filter(F.col("bought") & ~F.col("viewed"))
         .select(USER_KEY)
     )
@@ -130,7 +133,8 @@ def rows_of_users(events: DataFrame, users: DataFrame) -> DataFrame:
 def profile_report(events: DataFrame) -> DataFrame:
     """The one-row profile: volume, time range, distinct counts, nulls and duplicates.
 
-    The null counts and the overview share a scan; the rest are single-column scans.
+    Volume, nulls and time range share one scan, and the duplicates need no total of their own. Distinct values
+    are counted by single-column scans: counted together, every row would be multiplied.
     """
     nulls: list[Column] = [
         F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ("category_code", "brand", "user_session")
@@ -144,5 +148,5 @@ def profile_report(events: DataFrame) -> DataFrame:
     names = {"unique_users": "user_id", "unique_products": "product_id", "unique_sessions": "user_session",
              "unique_brands": "brand", "unique_category_codes": "category_code"}
     extra = {alias: distinct_count(events, name).scalar() for alias, name in names.items()}
-    extra["duplicates"] = duplicate_report(events).select("duplicates").scalar()
-    return base.withColumns(extra)
+    keys = events.select(*DEDUP_KEY).distinct().agg(F.count("*").alias("n")).scalar()
+    return base.withColumns(extra).withColumn("duplicates", F.col("total_rows") - keys)

@@ -31,7 +31,7 @@ class HashCut:
 
     def member(self, key: Column | str = USER_KEY) -> Column:
         head = F.substring(hash_order(key, self.seed, self.salt), 1, max(len(self.prefix), 1))
-        return head <= F.lit(self.prefix) if self.prefix else F.lit(False)
+        return F.coalesce(head <= F.lit(self.prefix), F.lit(False)) if self.prefix else F.lit(False)
 
 
 def exact_cut(users: DataFrame, n: int, seed: int, salt: str) -> HashCut:
@@ -39,11 +39,12 @@ def exact_cut(users: DataFrame, n: int, seed: int, salt: str) -> HashCut:
 
     Counts users per three-digit prefix, walks to the prefix in which the n-th user falls, then
     looks inside that prefix only, until a prefix ends exactly at n. Each step shrinks the users
-    looked at by 4,096; a billion users take three. Run it on a materialized table.
+    looked at by 4,096; a billion users take three. Run it on a materialized table. A null user is no
+    member and is not counted.
     """
     if n <= 0:
         return HashCut(seed, salt, "")
-    hashed = users.select(hash_order(USER_KEY, seed, salt).alias("h"))
+    hashed = users.filter(F.col(USER_KEY).isNotNull()).select(hash_order(USER_KEY, seed, salt).alias("h"))
     found, wanted = "", n
     for width in range(STEP, HASH_DIGITS + STEP, STEP):
         width = min(width, HASH_DIGITS)

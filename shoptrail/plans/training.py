@@ -45,9 +45,10 @@ class TrainingRun:
 def pool_and_validation(train: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(pool, validation, prior): users held out by hash, the prior learned from the pool only.
 
-    Both frames are filters on the stored matrix plus a broadcast of one row per category.
+    Both frames are filters on the stored matrix plus a join with one row per category.
     """
-    is_validation = validation_cut(train.select(USER_KEY).distinct(), cfg).member()
+    users = materialize(train.select(USER_KEY).distinct(), "train-users")  # read several times for the threshold
+    is_validation = validation_cut(users, cfg).member()
     pool, validation = train.filter(~is_validation), train.filter(is_validation)
     prior = materialize(category_prior(pool, cfg), "prior")
     return attach_prior(pool, prior), attach_prior(validation, prior), prior

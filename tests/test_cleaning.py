@@ -118,3 +118,27 @@ def test_funnel_and_daily(raw):
     daily = profiling.daily_counts(raw).collect()
     assert [(r["view"], r["cart"], r["purchase"]) for r in daily] == [(3, 1, 3)]
     assert [r.user_id for r in profiling.purchase_only_users(raw).collect()] == [2]
+
+
+def test_missing_types_are_no_views(spark):
+    """A user whose types are all missing has no view; the lazy and the staged form agree."""
+    from datetime import datetime
+
+    from shoptrail.operators.population import user_flags
+    from shoptrail.operators.profiling import purchase_only_users
+    from shoptrail.operators.sampling import exact_cut
+    from shoptrail.plans.prepare import clean_log
+
+    at = datetime(2019, 10, 2)
+    columns = ("event_time timestamp_ntz, event_type string, product_id bigint, category_id bigint, category_code string, "
+               "brand string, price double, user_id bigint, user_session string")
+    rows = [(at, "view", 1, 1, "a.b", "x", 1.0, 1, "s"), (at, None, 1, 1, "a.b", "x", 1.0, 2, "s"),
+            (at, "view", 1, 1, "a.b", "x", 1.0, None, "s"), (at, "purchase", 1, 1, "a.b", "x", 1.0, 3, "s")]
+    log = spark.createDataFrame(rows, columns)
+    for form in (clean_log(log), clean_events(log, Settings())):
+        assert [r.user_id for r in form.collect() if r.user_id is not None] == [1]
+    flags = {r.user_id: r.purchaser for r in user_flags(log, Settings()).collect()}
+    assert flags[2] is False
+    assert [r.user_id for r in purchase_only_users(log).collect()] == [3]
+    users = log.select("user_id").distinct()
+    assert users.filter(exact_cut(users, 2, 1, "t").member()).count() == 2
