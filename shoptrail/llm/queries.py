@@ -30,7 +30,79 @@ def query(name: str, sql: str | None = None):
     return register
 
 
-@query("op10_quality_rules")
+_WORD, _SPACE = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+_CFG = risk_rules.RiskSettings()
+_GRID = ", ".join(
+    f"('{rule}', {k}, CAST({cutoff} AS DOUBLE))" for rule in risk_rules.SIGNALS
+    for k, cutoff in enumerate(risk_rules.LENGTH_STEPS if rule == "word_length" else risk_rules.STEPS))
+_TERM = "lgamma(n + 1) - lgamma({i} + 1) - lgamma(n - {i} + 1) + {i} * ln(r) + (n - {i}) * ln(1 - r)"
+
+QUALITY_SQL = f"""
+WITH parts AS MATERIALIZED (
+ SELECT row_number() OVER () AS row_no, doc_id, coalesce(lang, '') AS stratum, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS words,
+  list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines FROM documents),
+windows AS (
+ SELECT row_no, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS k
+ FROM (SELECT row_no, words, unnest(range(1, len(words) - 1)) AS i FROM parts)),
+repeated AS (SELECT row_no, unnest([i, i + 1, i + 2]) AS place FROM (
+ SELECT row_no, i FROM windows QUALIFY count(*) OVER (PARTITION BY row_no, k) > 1)),
+counts AS MATERIALIZED (
+ SELECT doc_id, stratum, CAST(len(words) AS BIGINT) AS n_words,
+  CAST(length(regexp_replace(t, '{_SPACE}+', '', 'g')) AS BIGINT) AS word_chars,
+  CAST(length(t) - length(regexp_replace(t, '[{risk_rules.SYMBOLS}]', '', 'g')) AS BIGINT) AS n_symbols,
+  CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+  len(lines) AS n_lines
+ FROM parts LEFT JOIN (SELECT row_no, count(DISTINCT place) AS n FROM repeated GROUP BY row_no) USING (row_no)),
+signals AS MATERIALIZED (
+ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  n_symbols / greatest(n_words, 1) AS symbol_rate, n_dup_lines / greatest(n_lines, 1) AS repeated_line_rate,
+  n_repeat_words / greatest(n_words, 1) AS repeated_word_rate, word_chars / greatest(n_words, 1) AS word_length FROM counts),
+grid AS (SELECT * FROM (VALUES {_GRID}) g(rule, step, cutoff)),
+labelled AS (UNPIVOT (
+  SELECT s.stratum, l.quality, symbol_rate, repeated_line_rate, repeated_word_rate, word_length
+  FROM signals s JOIN labels l ON s.doc_id = l.doc_id WHERE NOT base_failed AND l.quality IN (0, 1))
+ ON symbol_rate, repeated_line_rate, repeated_word_rate, word_length INTO NAME rule VALUE x),
+tests AS (
+ SELECT stratum, rule, step, cutoff, count(*) FILTER (quality = 1) AS n, count(*) FILTER (quality = 0) AS n_bad,
+  count(*) FILTER (quality = 1 AND x >= cutoff) AS k, count(*) FILTER (quality = 0 AND x >= cutoff) AS bad
+ FROM labelled JOIN grid USING (rule) GROUP BY ALL),
+judged AS (
+ SELECT *, CASE WHEN k >= n * r THEN 0 ELSE {_TERM.format(i="k")} + ln(list_sum(list_transform(range(0, k + 1), lambda i: exp(
+   ({_TERM.format(i="i")}) - ({_TERM.format(i="k")}))))) END
+  <= ln({1 - _CFG.confidence} / ((SELECT count(DISTINCT stratum) FROM labelled) * {len(risk_rules.SIGNALS)})) AS ok
+ FROM (SELECT *, CAST({_CFG.rate} AS DOUBLE) AS r FROM tests)),
+passed AS (
+ SELECT *, round(bad / greatest(n_bad, 1) - k / greatest(n, 1), 9) AS surplus FROM judged
+ QUALIFY step < coalesce(min(step) FILTER (NOT ok) OVER (PARTITION BY stratum, rule), 1000)),
+best AS (SELECT * FROM passed WHERE surplus > 0
+ QUALIFY row_number() OVER (PARTITION BY stratum, rule ORDER BY surplus DESC, step) = 1),
+cutoffs AS (SELECT stratum, {", ".join(f"max(cutoff) FILTER (rule = '{x}') AS max_{x}" for x in risk_rules.SIGNALS)}
+ FROM best GROUP BY stratum)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT (base_failed OR {" OR ".join(f"coalesce({x} >= max_{x}, false)" for x in risk_rules.SIGNALS)}) AS kept
+FROM signals LEFT JOIN cutoffs USING (stratum)"""
+
+JOIN_SQL = f"""
+WITH RECURSIVE parts AS MATERIALIZED (
+ SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}+') AS words FROM documents),
+windows AS MATERIALIZED (
+ SELECT DISTINCT row_no, array_to_string(words[i : i + 4], ' ') AS k
+ FROM (SELECT row_no, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i FROM parts WHERE len(words) > 0)),
+sizes AS (SELECT row_no, count(*) AS n FROM windows GROUP BY row_no),
+links AS MATERIALIZED (
+ SELECT a, b FROM (SELECT x.row_no AS a, y.row_no AS b, count(*) AS common FROM windows x JOIN windows y USING (k)
+  WHERE x.row_no <> y.row_no GROUP BY ALL)
+ JOIN sizes p ON p.row_no = a JOIN sizes q ON q.row_no = b WHERE 5 * common >= 4 * (p.n + q.n - common)),
+reach AS (SELECT row_no AS a, row_no AS b FROM parts UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, class_id, class_size, coalesce(n_links, 0) AS n_links FROM parts
+JOIN (SELECT a AS row_no, min(p.doc_id) AS class_id, count(*) AS class_size FROM reach JOIN parts p ON p.row_no = b GROUP BY a)
+ USING (row_no)
+LEFT JOIN (SELECT a AS row_no, count(*) AS n_links FROM links GROUP BY a) USING (row_no)"""
+
+
+@query("op10_quality_rules", QUALITY_SQL)
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     return risk_rules.judge(documents(spark, folder), labels)
@@ -52,7 +124,7 @@ def toxic_scores(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet")))
 
 
-@query("op9_ngram_join")
+@query("op9_ngram_join", JOIN_SQL)
 def ngram_classes(spark: SparkSession, folder: str) -> DataFrame:
     """Five-word windows, similarity 0.8: class, its size and the number of links of every document."""
     return ngram_join.classes(documents(spark, folder)).drop("fp")
