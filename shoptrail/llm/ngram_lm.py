@@ -134,17 +134,30 @@ class Tokens:
         return place, shard.astype(np.int64) + level * shards, ((context & low) << np.uint64(HALF)) | (word & low)
 
 
-def pack_keys(keys: np.ndarray) -> bytes:
-    """Sorted keys of 56 bits: the low five bytes, and the steps of the upper two."""
-    high = np.diff((keys >> np.uint64(40)).astype(np.int64), prepend=0).astype(np.uint16)
-    return high.tobytes() + np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
-
-
-def unpack_keys(data: bytes, n: int) -> np.ndarray:
-    high = np.cumsum(np.frombuffer(data, np.uint16, n).astype(np.uint64))
+def pack_message(keys: np.ndarray, counts: np.ndarray) -> bytes:
+    """Sorted keys of 56 bits and their counts: the low five bytes, and steps of the upper two and counts in a byte
+    each, where the larger ones are listed."""
+    high = np.diff((keys >> np.uint64(40)).astype(np.int64), prepend=0)
+    low = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :5])
+    parts = [np.array([len(keys)], np.int64)]
+    for values in (high, counts.astype(np.int64)):
+        large = np.flatnonzero(values > 255)
+        parts += [np.array([len(large)], np.int64), large, values[large], np.minimum(values, 255).astype(np.uint8)]
+    return b"".join(x.tobytes() for x in [*parts, low])
+
+
+def unpack_message(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n, at, found = int.from_bytes(data[:8], "little"), 8, []
+    for _ in range(2):
+        m = int.from_bytes(data[at : at + 8], "little")
+        large, values = (np.frombuffer(data, np.int64, m, at + 8 + k * 8 * m) for k in (0, 1))
+        column = np.frombuffer(data, np.uint8, n, at + 8 + 16 * m).astype(np.int64)
+        column[large] = values
+        found.append(column)
+        at += 8 + 16 * m + n
     low = np.zeros((n, 8), np.uint8)
-    low[:, :5] = np.frombuffer(data, np.uint8, 5 * n, 2 * n).reshape(n, 5)
-    return low.view(np.uint64).ravel() | (high.astype(np.uint64) << np.uint64(40))
+    low[:, :5] = np.frombuffer(data, np.uint8, 5 * n, at).reshape(n, 5)
+    return low.view(np.uint64).ravel() | (np.cumsum(found[0]).astype(np.uint64) << np.uint64(40)), found[1]
 
 
 def distinct_keys(target: np.ndarray, key: np.ndarray):
@@ -173,11 +186,10 @@ def ask(shards: int, frequent) -> Callable:
             if not len(place):
                 continue
             targets, distinct, pair = distinct_keys(target, keys)
-            counts = np.bincount(pair, train[place], len(targets)).astype(np.uint32)
+            counts = np.bincount(pair, train[place], len(targets))
             cuts = np.flatnonzero(np.diff(targets, prepend=-1))
             for a, b in zip(cuts, np.append(cuts[1:], len(targets))):
-                data = (b - a).astype(np.int64).tobytes() + counts[a:b].tobytes() + pack_keys(distinct[a:b])
-                rows.append((int(targets[a]), key[0].as_py(), data))
+                rows.append((int(targets[a]), key[0].as_py(), pack_message(distinct[a:b], counts[a:b])))
         return _rows(rows)
 
     return run
@@ -197,16 +209,17 @@ def answer(shards: int) -> Callable:
 
     def run(table: pa.Table) -> pa.Table:
         target, batch = table.column("target").to_pylist(), table.column("batch").to_pylist()
-        asked = table.column("payload").to_pylist()
-        sizes = [int.from_bytes(p[:8], "little") for p in asked]
-        keys = [unpack_keys(p[8 + 4 * n :], n) for p, n in zip(asked, sizes)]
-        counts = np.concatenate([np.frombuffer(p, np.uint32, n, 8) for p, n in zip(asked, sizes)])
-        seen = counts > 0
-        learned, inverse = np.unique(np.concatenate(keys)[seen], return_inverse=True)
-        totals = np.bincount(inverse.ravel(), counts[seen], len(learned)).astype(np.int64)
+        asked = [unpack_message(p) for p in table.column("payload").to_pylist()]
+        sizes = [len(keys) for keys, _ in asked]
+        distinct, inverse = np.unique(np.concatenate([keys for keys, _ in asked]), return_inverse=True)
+        totals = np.bincount(inverse.ravel(), np.concatenate([c for _, c in asked]), len(distinct)).astype(np.int64)
+        learned = totals > 0
         exact = target[0] < 2 * shards
-        trie = ContextTrie(learned, totals.astype(np.uint32) if exact else quantise(totals), HALF)
-        return _rows([(t, b, trie.query(k).tobytes()) for t, b, k in zip(target, batch, keys)])
+        codes = totals[learned].astype(np.uint32) if exact else quantise(totals[learned])
+        trie = ContextTrie(distinct[learned], codes, HALF)
+        found = trie.query(distinct)[inverse.ravel()]  # what several batches ask is looked up once
+        parts = np.split(found, np.cumsum(sizes)[:-1])
+        return _rows([(t, b, x.tobytes()) for t, b, x in zip(target, batch, parts)])
 
     return run
 
