@@ -111,9 +111,9 @@ class TreeParams:
     # At least the number of categories plus one for unknown ones.
     max_bins: int = 64
 
-    def classifier(self, trees: int, seed: int, early_stop_column: str | None = None) -> GBTClassifier:
+    def classifier(self, trees: int, seed: int) -> GBTClassifier:
         share = "all" if self.feature_share >= 1.0 else str(self.feature_share)
-        model = GBTClassifier(
+        return GBTClassifier(
             featuresCol="features",
             labelCol="label",
             maxIter=trees,
@@ -124,10 +124,8 @@ class TreeParams:
             featureSubsetStrategy=share,
             seed=seed,
             maxBins=self.max_bins,
-            validationTol=0.0,  # stop when the held-out loss gets worse, not when it slows down
             checkpointInterval=10,
         )
-        return model.setValidationIndicatorCol(early_stop_column) if early_stop_column else model
 
 
 # The ranges of the random search (leaves, rows per leaf, learning rate, row share, feature share).
@@ -169,11 +167,45 @@ def _keys(rows: DataFrame) -> list[str]:
 def fit_trees(
     rows: DataFrame, cfg: Settings, params: TreeParams, trees: int, early_stop_column: str | None = None
 ) -> PipelineModel:
+    """Boosted trees. With ``early_stop_column``, the rows it marks are held out and decide how many."""
+    if early_stop_column:
+        held_out = F.col(early_stop_column)
+        return _fit_until_worse(rows.filter(~held_out), rows.filter(held_out), cfg, params, trees)
     work_dir(rows.sparkSession)  # boosting cuts its lineage there every ten trees
-    stages = [*tree_inputs(cfg), params.classifier(trees, cfg.seed, early_stop_column)]
+    stages = [*tree_inputs(cfg), params.classifier(trees, cfg.seed)]
     return Pipeline(stages=stages).fit(impute(rows, cfg))
 
 
+def best_round(losses: Sequence[float], patience: int) -> int:
+    """The number of rounds with the least loss, looking no further than ``patience`` rounds past it."""
+    best = 0
+    for k, loss in enumerate(losses):
+        if loss < losses[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
+
+
+def _fit_until_worse(
+    rows: DataFrame, held_out: DataFrame, cfg: Settings, params: TreeParams, most: int
+) -> PipelineModel:
+    """As many trees as the held-out loss wants, with patience.
+
+    Trees are fitted in runs of doubling length until the best round lies ``patience`` rounds back; the loss of every
+    round comes from one pass over the held-out rows. With the seed of the run, the best number is fitted again.
+    """
+    trees = min(most, 2 * cfg.patience)
+    while True:
+        model = fit_trees(rows, cfg, params, trees)
+        prepared = PipelineModel(model.stages[:-1]).transform(impute(held_out, cfg))
+        losses = model.stages[-1].evaluateEachIteration(prepared.select("features", F.col("label").cast("double")))
+        best = best_round(losses, cfg.patience)
+        if best + cfg.patience <= trees or trees >= most:
+            return model if best == trees else fit_trees(rows, cfg, params, best)
+        trees = min(most, 2 * trees)
+
+
 def fit_linear(rows: DataFrame, cfg: Settings, c: float = 1.0) -> PipelineModel:
     """Logistic regression with inverse regularisation strength ``c``.
 

@@ -168,3 +168,11 @@ def test_training_run(spark, train):
     assert run.predictions.columns == ["user_id", "category_l1", "propensity_score"]
     assert run.predictions.count() == 450
     assert log_loss(run.validation).first().log_loss == pytest.approx(record.val_log_loss, abs=1e-3)
+
+
+def test_patience_waits_for_a_later_round():
+    losses = [1.0, 0.9, 0.95, 0.8, 0.85, 0.86, 0.87, 0.5]
+    assert L.best_round(losses, 1) == 2
+    assert L.best_round(losses, 3) == 4
+    assert L.best_round(losses, 50) == 8
+    assert L.best_round([0.4], 5) == 1
