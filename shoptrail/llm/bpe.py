@@ -22,7 +22,7 @@ from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from shoptrail.llm.common import prepare, whole_texts
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 _NONE = np.int64(1 << 62)
 _MODELS: dict[str, WordBpe] = {}
 
@@ -179,11 +179,15 @@ def word_bpe(path: str) -> WordBpe:
 
 
 def _coded(batches: Iterator[pa.RecordBatch], path: str):
+    """Known pieces are forgotten after a task: its worker goes on to tasks of other operators."""
     model = word_bpe(path)
-    for batch in batches:
-        for k in range(0, batch.num_rows, 200):
-            part = batch.slice(k, 200)
-            yield part, model.encode(part.column("text").to_pylist())
+    try:
+        for batch in batches:
+            for k in range(0, batch.num_rows, 200):
+                part = batch.slice(k, 200)
+                yield part, model.encode(part.column("text").to_pylist())
+    finally:
+        model.known, model.older = {}, {}
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:

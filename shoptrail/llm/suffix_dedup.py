@@ -91,8 +91,11 @@ class Batch:
         return (shard << np.uint64(32)) | (self.hashes & np.uint64(0xFFFFFFFF))
 
     def leads(self) -> np.ndarray:
-        """The first eight bytes at every anchor as a number that sorts like them."""
-        return eight_bytes(self.data)[self.place] if len(self.place) else np.empty(0, np.uint64)
+        """The first eight bytes at every anchor (anchors have 32) as a number that sorts like them."""
+        out = np.zeros(len(self.place), np.uint64)
+        for k in range(8):
+            out = (out << np.uint64(8)) | self.data[self.place + k]
+        return out
 
 
 def eight_bytes(data: np.ndarray) -> np.ndarray:
@@ -281,7 +284,7 @@ def _covered(batch: Batch, answers: pa.Table, splitters: np.ndarray) -> np.ndarr
         heads = heads[((bits >> np.uint32(k)) & 1 > 0) & (heads <= batch.last[mine])]
         np.add.at(flags, heads, 1)
         np.add.at(flags, heads + WIDTH, -1)
-    return np.cumsum(flags[:-1]) > 0
+    return np.cumsum(flags[:-1], dtype=np.int32) > 0
 
 
 def mark(splitters: np.ndarray, keep: list[str], schema: pa.Schema) -> Callable:
