@@ -39,7 +39,12 @@ FILE_BYTES = 32 << 20
 CACHE_WORDS = 600_000
 
 
+_SHORT = np.array([k.bit_length() for k in range(1 << 16)], np.uint8)
+
+
 def bit_lengths(values: np.ndarray) -> np.ndarray:
+    if len(values) and values.max() < 1 << 16:
+        return _SHORT[values.astype(np.int64)]
     bits = np.zeros(len(values), np.uint8)
     rest = values.copy()
     for step in (32, 16, 8, 4, 2, 1):
@@ -177,6 +182,8 @@ class PieceEncoder:
 
     CUT = re.compile(r" (?=\S)")
     UNEVEN = re.compile(r" (?:\s|$)")
+    # Letters, signs, and perhaps a line break with letters and signs: always cut apart by the pre-tokenizer.
+    SIMPLE = re.compile(r"([^\W\d_]+)([^\w\s]*)(?:(\n)([^\W\d_]+)([^\w\s]*))?")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -187,6 +194,39 @@ class PieceEncoder:
         self.mark, self.mark_id = special[0] if special else (None, None)
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # pieces without a space before them
+
+    def _head(self, pieces: set[str]) -> dict[str, bytes]:
+        if len(self.heads) > CACHE_WORDS:
+            self.heads = {}
+        self.heads.update(self._learn(list(pieces - self.heads.keys()), ""))
+        return self.heads
+
+    def _again(self, missing: set[str]) -> dict[str, bytes]:
+        """The ids of pieces that are not known; most are made of known words, signs and words after a break."""
+        known, older, out = self.known, self.older, {}
+        simple, stems, heads, rest = [], set(), set(), []
+        for p in missing:
+            if p in older:
+                out[p] = older[p]
+                continue
+            m = self.SIMPLE.fullmatch(p)
+            if m is None or not (m[2] or m[3]):
+                rest.append(p)
+                continue
+            parts = [x for x in m.groups()[1:] if x]
+            simple.append((p, m[1], parts))
+            heads.update(parts)
+            if m[1] not in known and m[1] not in out:
+                if m[1] in older:
+                    out[m[1]] = older[m[1]]
+                else:
+                    stems.add(m[1])
+        out.update(self._learn([*stems.union(rest)], " "))
+        table = self._head(heads)
+        for p, stem, parts in simple:
+            out[p] = (known.get(stem) or out[stem]) + b"".join([table[x] for x in parts])
+        return out
 
     def _learn(self, pieces: list[str], prefix: str) -> dict[str, bytes]:
         """The library never joins text across a special token, so pieces are encoded in rows between marks."""
@@ -207,7 +247,7 @@ class PieceEncoder:
     def encode(self, texts: list[str], end: bytes) -> list[bytes]:
         """The ids of every text as little-endian 32-bit numbers, followed by ``end``."""
         cut = [self.CUT.split(t) if self.UNEVEN.search(t) else t.split(" ") for t in texts]
-        heads = self._learn(list({c[0] for c in cut}), "")
+        heads = self._learn(list({c[0] for c in cut}), "")  # the first pieces, without a space
         if len(self.known) > CACHE_WORDS:  # pieces that were not met since are forgotten
             self.known, self.older = {}, self.known
         get = self.known.get
@@ -217,8 +257,7 @@ class PieceEncoder:
             f[0] = heads[c[0]]
             if None in f:
                 missing.update([p for p, x in zip(c, f) if x is None])
-        again = {p: self.older[p] for p in missing if p in self.older}
-        again.update(self._learn([p for p in missing if p not in again], " "))
+        again = self._again(missing)
         self.known.update(again)
         for c, f in zip(cut, found):
             if None in f:
