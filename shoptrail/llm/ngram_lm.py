@@ -1,8 +1,9 @@
 """Language-model scores from an Elias-Fano n-gram trie that is spread over shards.
 
 The model is a hierarchy of Dirichlet-smoothed n-grams: the count of a trigram, with a prior weight on the bigram
-probability, which has one on the base probability ``(c + 0.1) / (N + 0.1 (V + 1))``. Contexts are
-words with at least ``context_share`` of the corpus; behind other words the lower order is used.
+probability, which has one on the base probability ``(c + 0.1) / (N + 0.1 (V + 1))``. With ``all_contexts`` the n-grams
+behind every word are counted; otherwise contexts are words with at least ``context_share`` of the corpus, and behind
+other words the lower order is used. Counts of frequent words are broadcast, those of the others come from the shards.
 
 Batches of documents send their distinct n-grams, with the counts of their training documents, to shards chosen by context and, so
 that a hot context is spread, by four bits of the next word. A shard adds the counts, quantises the log
@@ -48,7 +49,8 @@ _DDL = "target bigint, batch bigint, payload binary"
 @dataclass(frozen=True)
 class LmSettings:
     held_out_of: int = 10
-    context_share: float = 1e-6  # so there are at most a million context words
+    context_share: float = 1e-6  # so the counts of at most a million words are broadcast
+    all_contexts: bool = False  # n-grams behind all words, not only behind the broadcast ones
     bigram_prior: float = 1000.0
     trigram_prior: float = 2.0
 
@@ -106,7 +108,8 @@ def word_counts(rows: DataFrame) -> DataFrame:
 class Tokens:
     """Tokens of one batch, and the keys of its n-grams."""
 
-    def __init__(self, table: pa.Table, frequent: tuple[np.ndarray, np.ndarray]):
+    def __init__(self, table: pa.Table, frequent: tuple[np.ndarray, np.ndarray], all_contexts: bool):
+        self.all_contexts = all_contexts
         self.words, self.text = token_hashes(table.column("text").combine_chunks())
         names, counts = frequent
         at = np.minimum(np.searchsorted(names, self.words), max(len(names) - 1, 0))
@@ -122,7 +125,7 @@ class Tokens:
         else:
             ok = np.zeros(n, bool)
             ok[level - 1 :] = self.text[level - 1 :] == self.text[: n - level + 1]
-            for back in range(1, level):
+            for back in range(1, level) if not self.all_contexts else ():
                 ok[back:] &= self.known[:-back]
             place = np.flatnonzero(ok)
             context = mix(w[place - 1] + np.uint64(level))
@@ -134,30 +137,33 @@ class Tokens:
         return place, shard.astype(np.int64) + level * shards, ((context & low) << np.uint64(HALF)) | (word & low)
 
 
+def _squeeze(values: np.ndarray) -> bytes:
+    """The first bytes of all values, then the second ones, and so on, by zstd: high bytes are mostly zero."""
+    data = np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _expand(data: bytes, kind: type) -> np.ndarray:
+    plain = pa.decompress(data[8:], decompressed_size=int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+    planes = np.frombuffer(plain, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def pack_message(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys of 56 bits and their counts: the low five bytes, and steps of the upper two and counts in a byte
-    each, where the larger ones are listed."""
-    high = np.diff((keys >> np.uint64(40)).astype(np.int64), prepend=0)
+    """Sorted keys of 56 bits and their counts: steps of the upper two bytes and counts squeezed, the low five bytes
+    as they are."""
+    high = np.diff((keys >> np.uint64(40)).astype(np.int64), prepend=0).astype(np.uint16)
     low = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :5])
-    parts = [np.array([len(keys)], np.int64)]
-    for values in (high, counts.astype(np.int64)):
-        large = np.flatnonzero(values > 255)
-        parts += [np.array([len(large)], np.int64), large, values[large], np.minimum(values, 255).astype(np.uint8)]
-    return b"".join(x.tobytes() for x in [*parts, low])
+    parts = [_squeeze(high), _squeeze(counts.astype(np.uint32))]
+    return b"".join([*(len(x).to_bytes(8, "little") for x in parts), *parts, low.tobytes()])
 
 
 def unpack_message(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n, at, found = int.from_bytes(data[:8], "little"), 8, []
-    for _ in range(2):
-        m = int.from_bytes(data[at : at + 8], "little")
-        large, values = (np.frombuffer(data, np.int64, m, at + 8 + k * 8 * m) for k in (0, 1))
-        column = np.frombuffer(data, np.uint8, n, at + 8 + 16 * m).astype(np.int64)
-        column[large] = values
-        found.append(column)
-        at += 8 + 16 * m + n
-    low = np.zeros((n, 8), np.uint8)
-    low[:, :5] = np.frombuffer(data, np.uint8, 5 * n, at).reshape(n, 5)
-    return low.view(np.uint64).ravel() | (np.cumsum(found[0]).astype(np.uint64) << np.uint64(40)), found[1]
+    a, b = (int.from_bytes(data[k : k + 8], "little") for k in (0, 8))
+    high, counts = _expand(data[16 : 16 + a], np.uint16), _expand(data[16 + a : 16 + a + b], np.uint32)
+    low = np.zeros((len(high), 8), np.uint8)
+    low[:, :5] = np.frombuffer(data, np.uint8, 5 * len(high), 16 + a + b).reshape(len(high), 5)
+    return low.view(np.uint64).ravel() | (np.cumsum(high.astype(np.uint64)) << np.uint64(40)), counts.astype(np.int64)
 
 
 def distinct_keys(target: np.ndarray, key: np.ndarray):
@@ -175,11 +181,11 @@ def _rows(rows: list[tuple]) -> pa.Table:
     return pa.table([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(_MESSAGE)], schema=_MESSAGE)
 
 
-def ask(shards: int, frequent) -> Callable:
+def ask(shards: int, frequent, all_contexts: bool) -> Callable:
     """A row per batch and shard: the distinct keys and their counts in the batch's training texts."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
-        tokens, rows = Tokens(table, frequent.value), []
+        tokens, rows = Tokens(table, frequent.value, all_contexts), []
         train = table.column("train").to_numpy()[tokens.text]
         for level in LEVELS:
             place, target, keys = tokens.keys(level, shards)
@@ -219,7 +225,7 @@ def answer(shards: int) -> Callable:
         trie = ContextTrie(distinct[learned], codes, HALF)
         found = trie.query(distinct)[inverse.ravel()]  # what several batches ask is looked up once
         parts = np.split(found, np.cumsum(sizes)[:-1])
-        return _rows([(t, b, x.tobytes()) for t, b, x in zip(target, batch, parts)])
+        return _rows([(t, b, _squeeze(x)) for t, b, x in zip(target, batch, parts)])
 
     return run
 
@@ -229,7 +235,7 @@ def score_batch(shards: int, frequent, total: int, distinct: int, cfg: LmSetting
         names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
         if not table.num_rows:
             return _SCORES.empty_table()
-        tokens = Tokens(table, frequent.value)
+        tokens = Tokens(table, frequent.value, cfg.all_contexts)
         by_target = dict(zip(answers.column("target").to_pylist(), answers.column("payload").to_pylist()))
         n = len(tokens.words)
         count = tokens.count.astype(np.float64)
@@ -241,7 +247,7 @@ def score_batch(shards: int, frequent, total: int, distinct: int, cfg: LmSetting
                 continue
             targets, _, pair = distinct_keys(target, keys)
             kind = np.uint32 if level == 1 else np.uint8
-            found = np.concatenate([np.frombuffer(by_target[int(t)], kind) for t in np.unique(targets)])[pair]
+            found = np.concatenate([_expand(by_target[int(t)], kind) for t in np.unique(targets)])[pair]
             if level == 1:
                 count[place] = found
             else:
@@ -289,7 +295,7 @@ def score(docs: DataFrame, cfg: LmSettings | None = None) -> DataFrame:
     shards = max(1, -(-size // SHARD_BYTES))
     batches = max(1, -(-size // BATCH_BYTES))
     by_batch = rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text"), F.lit(batches))).groupBy("batch")
-    answers = by_batch.applyInArrow(ask(shards, frequent), _DDL).groupBy("target").applyInArrow(answer(shards), _DDL)
+    answers = by_batch.applyInArrow(ask(shards, frequent, cfg.all_contexts), _DDL).groupBy("target").applyInArrow(answer(shards), _DDL)
     ddl = ("doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, "
            "score double")
     scorer = score_batch(shards, frequent, totals["n"], totals["v"], cfg)

@@ -148,7 +148,7 @@ def chunk_removal(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op1_ngram_lm")
 def language_model(spark: SparkSession, folder: str) -> DataFrame:
-    return ngram_lm.score(documents(spark, folder))
+    return ngram_lm.score(documents(spark, folder), ngram_lm.LmSettings(all_contexts=True))
 
 
 @query("op7_html_text")

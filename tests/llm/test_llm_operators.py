@@ -18,6 +18,7 @@ from corpus import COLUMNS, frame, lower_words, messy_rows, order, words  # noqa
 from pyspark.sql import functions as F  # noqa: E402
 
 from shoptrail.llm import bpe, chunk_dedup, decontaminate, html_blocks, ngram_join, ngram_lm  # noqa: E402
+from shoptrail.llm import queries as text_queries  # noqa: E402
 from shoptrail.llm import risk_rules, simple8b, suffix_dedup, toxicity  # noqa: E402
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -275,6 +276,49 @@ def test_language_model(docs, rows, none, monkeypatch, small):
     assert ngram_lm.score(none).count() == 0
 
 
+def test_language_model_has_every_context(docs, rows, monkeypatch):
+    """No training word is too rare to be a context: the query's settings agree with the plain model."""
+    monkeypatch.setattr(ngram_lm, "BATCH_BYTES", 4_000)
+    monkeypatch.setattr(ngram_lm, "SHARD_BYTES", 6_000)
+    monkeypatch.setattr(text_queries, "documents", lambda spark, folder: docs)
+    cfg = ngram_lm.LmSettings()
+    tokens = [[*lower_words(r[1]), None] for r in rows]
+    one, two, three = (collections.Counter() for _ in range(3))
+    for r, w in zip(rows, tokens):
+        if zlib.crc32(b"" if r[0] is None else str(r[0]).encode()) % 10:
+            one.update(w)
+            two.update(zip(w, w[1:]))
+            three.update(zip(w, w[1:], w[2:]))
+    total, distinct = sum(one.values()), len(one)
+    code = lambda c: math.exp(ngram_lm.STEP * round(math.log(c) / ngram_lm.STEP)) if c else 0.0
+    want, rare = [], 0
+    for r, w in zip(rows, tokens):
+        score = 0.0
+        for i, x in enumerate(w):
+            p = (one[x] + 0.1) / (total + 0.1 * (distinct + 1))
+            if i:
+                before = one[w[i - 1]]
+                rare += before == 1
+                p = (min(code(two[w[i - 1], x]), before) + cfg.bigram_prior * p) / (before + cfg.bigram_prior)
+            if i > 1:
+                pair = code(two[w[i - 2], w[i - 1]])
+                p = (min(code(three[w[i - 2], w[i - 1], x]), pair) + cfg.trigram_prior * p) / (pair + cfg.trigram_prior)
+            score += math.log10(p)
+        want.append((r[0], round(score, 6)))
+    got = text_queries.QUERIES["op1_ngram_lm"](docs.sparkSession, "").collect()
+    assert rare and bag((r.doc_id, round(r.score, 6)) for r in got) == bag(want)
+
+
+def test_language_model_messages():
+    draw = np.random.default_rng(4)
+    for n in (1, 560, 40_000):
+        keys = np.unique(draw.integers(0, 1 << 56, n, dtype=np.uint64))
+        counts = draw.geometric(0.7, len(keys)) - 1
+        counts[0] = 4_000_000
+        back = ngram_lm.unpack_message(ngram_lm.pack_message(keys, counts))
+        assert np.array_equal(back[0], keys) and np.array_equal(back[1], counts)
+
+
 # --- labels ---------------------------------------------------------------------------------------
 
 
