@@ -120,6 +120,7 @@ class ItemIndex:
         self.maybe[(self.pairs & self.mask).astype(np.int64)] = True
         # items of similar length (up to a fifth more) form a class with common samples
         self.classes: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        self.needed: list[int] = []  # pairs that a window of the class keeps: need() is not monotonic
         sizes, low = sorted({len(w) for _, w in self.items}), 0
         while low < len(sizes):
             size = sizes[low]
@@ -128,6 +129,7 @@ class ItemIndex:
             rows = np.zeros((len(mine), top), np.uint64)
             for r, i in enumerate(mine):
                 rows[r, : len(self.items[i][1])] = self.items[i][1]
+            self.needed.append(min(self.need(len(self.items[i][1])) for i in mine))
             keys = sample_keys([embed(rows, k, int(1.5 * size)) for k in range(cfg.walks)], size, cfg)
             owner = np.repeat(np.array(mine), keys.shape[1])
             order = np.argsort(keys.ravel(), kind="stable")
@@ -151,9 +153,9 @@ class ItemIndex:
         counts = np.bincount(text)
         ends = np.cumsum(counts)
         chosen = []
-        for size, top, *_ in self.classes:
+        for (size, top, *_), needed in zip(self.classes, self.needed):
             stop = np.minimum(np.arange(len(hit)) + top + self.cfg.edits(top) - 1, len(hit))
-            starts = np.flatnonzero(sums[stop] - sums[:-1] >= self.need(size))
+            starts = np.flatnonzero(sums[stop] - sums[:-1] >= needed)
             chosen.append(starts[ends[text[starts]] - starts >= size - self.cfg.edits(size)])
         every = np.unique(np.concatenate(chosen))
         best: dict[tuple[int, int], tuple[int, int, int]] = {}

@@ -81,3 +81,19 @@ def test_cgk_samples_reach_the_recall(words):
         hashes = np.concatenate([noise[:30], np.array(item, np.uint64), noise[30:]])
         found += any(f[1] == k % 20 for f in index.find(hashes, np.zeros(len(hashes), np.int64)))
     assert found >= 0.95 * tries
+
+
+def test_leaks_of_the_longer_items_of_a_class():
+    """A copy of a 20-word item with four isolated substitutions keeps 11 pairs, one less than 19 words need."""
+    draw = np.random.default_rng(20)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 1 << 40, n)) for n in [19, 20] * 15]
+    index = decontaminate.ItemIndex(list(range(30)), texts, decontaminate.LeakSettings())
+    assert [c[:2] for c in index.classes] == [(19, 20)]
+    found = 0
+    for k in range(1, 30, 2):
+        item = index.items[k][1].copy()
+        item[[3, 7, 11, 15]] = draw.integers(2**62, size=4)
+        noise = draw.integers(0, 2**62, 80, dtype=np.uint64)
+        hashes = np.concatenate([noise[:30], item, noise[30:]])
+        found += any(f[1:3] == (k, 4) for f in index.find(hashes, np.zeros(len(hashes), np.int64)))
+    assert found >= 14
