@@ -3,9 +3,10 @@
 Windows of an item's length are embedded by CGK random walks: a pointer moves over the words and, at every
 step, stays or advances by a random bit of the word under it, so that few edits change few of the visited
 words. Each of several walks is sampled at few steps, many times; windows and items that agree in one
-sample are candidates, and an exact edit distance with free ends decides.
+sample are candidates, and an exact edit distance with free ends decides. Edits shift a walk more and more, so long
+items are looked up by pieces, of which one at least keeps to the allowed share of edits; the whole item is compared.
 
-Before they are embedded, windows pass the q-gram count bound: within the allowed edits a window of the item's
+Before they are embedded, windows pass the q-gram count bound: within the allowed edits a window of the piece's
 length keeps a known number of the benchmark's word pairs. The bound loses nothing and spares most windows.
 """
 
@@ -32,8 +33,8 @@ BLOCK_BYTES = 32 << 20
 
 @dataclass(frozen=True)
 class LeakSettings:
-    """``agreement`` is the share of embedded steps on which an item and a copy at the similarity limit agree
-    at least (a test measures it); with it the samples give the target recall."""
+    """``agreement`` is the assumed share of embedded steps on which a piece and a copy at the similarity limit agree
+    at least; with it the samples give the target recall, which tests measure. Pieces have about ``piece_words``."""
 
     similarity: float = 0.8
     least_words: int = 5
@@ -41,6 +42,7 @@ class LeakSettings:
     agreement: float = 0.4
     sampled: int = 3
     walks: int = 6
+    piece_words: int = 30
 
     @property
     def samples(self) -> int:
@@ -113,23 +115,30 @@ class ItemIndex:
         for key, part in zip(ids, np.split(hashes, np.cumsum(counts)[:-1]) if len(texts) else []):
             if len(part) >= cfg.least_words:
                 self.items.append((key, part))
+        # (item, offset, words): if every piece had more than the allowed share of edits, so had the item
+        self.pieces: list[tuple[int, int, np.ndarray]] = []
+        for i, (_, part) in enumerate(self.items):
+            at = 0
+            for piece in np.array_split(part, max(1, round(len(part) / cfg.piece_words))):
+                self.pieces.append((i, at, piece))
+                at += len(piece)
         pairs = [chain(w, 2) for _, w in self.items]
         self.pairs = np.unique(np.concatenate(pairs)) if pairs else np.empty(0, np.uint64)
         self.mask = np.uint64((1 << max(16, (64 * len(self.pairs)).bit_length())) - 1)
         self.maybe = np.zeros(int(self.mask) + 1, bool)  # spares most binary searches
         self.maybe[(self.pairs & self.mask).astype(np.int64)] = True
-        # items of similar length (up to a fifth more) form a class with common samples
+        # pieces of similar length (up to a fifth more) form a class with common samples
         self.classes: list[tuple[int, int, np.ndarray, np.ndarray]] = []
         self.needed: list[int] = []  # pairs that a window of the class keeps: need() is not monotonic
-        sizes, low = sorted({len(w) for _, w in self.items}), 0
+        sizes, low = sorted({len(w) for *_, w in self.pieces}), 0
         while low < len(sizes):
             size = sizes[low]
             top = max(n for n in sizes if n <= max(size, 1.2 * size))
-            mine = [i for i, (_, w) in enumerate(self.items) if size <= len(w) <= top]
+            mine = [i for i, (*_, w) in enumerate(self.pieces) if size <= len(w) <= top]
             rows = np.zeros((len(mine), top), np.uint64)
             for r, i in enumerate(mine):
-                rows[r, : len(self.items[i][1])] = self.items[i][1]
-            self.needed.append(min(self.need(len(self.items[i][1])) for i in mine))
+                rows[r, : len(self.pieces[i][2])] = self.pieces[i][2]
+            self.needed.append(min(self.need(len(self.pieces[i][2])) for i in mine))
             keys = sample_keys([embed(rows, k, int(1.5 * size)) for k in range(cfg.walks)], size, cfg)
             owner = np.repeat(np.array(mine), keys.shape[1])
             order = np.argsort(keys.ravel(), kind="stable")
@@ -137,7 +146,7 @@ class ItemIndex:
             low = sizes.index(top) + 1
 
     def need(self, n: int) -> int:
-        """Pairs of an item of ``n`` words that a match keeps: an edit costs two."""
+        """Pairs of a piece of ``n`` words that a match keeps: an edit costs two."""
         return max(1, n - 1 - 2 * self.cfg.edits(n))
 
     def find(self, hashes: np.ndarray, text: np.ndarray) -> list[tuple[int, int, int, int, int]]:
@@ -178,15 +187,18 @@ class ItemIndex:
             asked = sample_keys([e[rows] for e in embedded], size, self.cfg)
             low, high = np.searchsorted(keys, asked, "left"), np.searchsorted(keys, asked, "right")
             for r, c in zip(*np.nonzero(high > low)):
-                found.update((int(starts[rows[r]]), int(i)) for i in owner[low[r, c] : high[r, c]])
+                start = int(starts[rows[r]])
+                for i in owner[low[r, c] : high[r, c]]:
+                    item, offset, _ = self.pieces[i]
+                    found.add((int(text[start]), item, start - offset))
         done: dict[tuple[int, int], int] = {}
-        for start, item in sorted(found):
-            t, words = int(text[start]), self.items[item][1]
+        for t, item, start in sorted(found):  # where the item starts, but for edits before the piece
+            words = self.items[item][1]
             n, edits = len(words), self.cfg.edits(len(words))
-            if start < done.get((t, item), -1):  # this part was compared with the item
+            if start < done.get((t, item), start):  # this part was compared with the item
                 continue
             begin, stop = int(ends[t] - counts[t]), int(ends[t])
-            lo, hi = max(begin, start - n), min(stop, start + 2 * n + edits)
+            lo, hi = max(begin, start - n), min(stop, start + 2 * n + 3 * edits)
             done[t, item] = start + n
             if np.isin(words, hashes[lo:hi]).sum() < n - edits:  # an edit costs one word at most
                 continue

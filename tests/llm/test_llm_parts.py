@@ -97,3 +97,27 @@ def test_leaks_of_the_longer_items_of_a_class():
         hashes = np.concatenate([noise[:30], item, noise[30:]])
         found += any(f[1:3] == (k, 4) for f in index.find(hashes, np.zeros(len(hashes), np.int64)))
     assert found >= 14
+
+
+@pytest.mark.parametrize("kind", ["substitute", "insert", "delete"])
+@pytest.mark.parametrize("words", [44, 59, 100, 200])
+def test_long_leaks_reach_the_target(words, kind):
+    """Copies with as many edits of one kind as are allowed: the stated target recall, also for long items."""
+    draw = np.random.default_rng(words)
+    cfg = decontaminate.LeakSettings()
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 4000, words)) for _ in range(20)]
+    index = decontaminate.ItemIndex(list(range(20)), texts, cfg)
+    found, tries = 0, 200
+    for k in range(tries):
+        item, edits = index.items[k % 20][1].copy(), cfg.edits(words)
+        places = draw.choice(words, edits, replace=False)
+        if kind == "substitute":
+            item[places] = draw.integers(2**62, size=edits)
+        elif kind == "insert":
+            item = np.insert(item, places, draw.integers(2**62, size=edits).astype(np.uint64))
+        else:
+            item = np.delete(item, places)
+        noise = draw.integers(0, 2**62, 80, dtype=np.uint64)
+        hashes = np.concatenate([noise[:30], item, noise[30:]])
+        found += any(f[1] == k % 20 for f in index.find(hashes, np.zeros(len(hashes), np.int64)))
+    assert found >= cfg.target_recall * tries, found / tries
