@@ -182,7 +182,7 @@ def l6(spark, folder):
 def l7(spark, folder):
     pool, validation = _pool_and_validation(spark, folder)
     rows = pool.withColumn("held_out", F.lit(False)).unionByName(validation.withColumn("held_out", F.lit(True)))
-    model = L.fit_trees(materialize(rows, "marked"), CFG, SMALL, TREES, "held_out")
+    model = L.fit_trees(materialize(rows, "marked"), CFG, L.TreeParams(), CFG.max_trees, "held_out")
     return L.score_rows(model, validation, CFG)
 
 
