@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import permutations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoptrail.llm import bpe, chunk_dedup, decontaminate, html_blocks, ngram_join, ngram_lm, risk_rules, simple8b, suffix_dedup, toxicity
+from shoptrail.llm import bpe, chat_format, chunk_dedup, decontaminate, filter_audit, html_blocks, ngram_join, ngram_lm, phrases
+from shoptrail.llm import risk_rules, simple8b, suffix_dedup, toxicity
 from shoptrail.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,6 +103,76 @@ JOIN (SELECT a AS row_no, min(p.doc_id) AS class_id, count(*) AS class_size FROM
  USING (row_no)
 LEFT JOIN (SELECT a AS row_no, count(*) AS n_links FROM links GROUP BY a) USING (row_no)"""
 
+_PIECES = "[.,;:!?\\x0A-\\x0D]"
+_MINE = phrases.PhraseSettings()
+
+PHRASE_SQL = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_PIECES}')) AS piece FROM documents),
+words AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+runs AS (SELECT lang, k, w[i : i + k - 1] AS p FROM (
+  SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3), (4)) s(k) WHERE len(w) >= k)),
+often AS MATERIALIZED (SELECT lang, k, p, count(*) AS f FROM runs GROUP BY ALL HAVING count(*) >= {_MINE.least}),
+covered AS (SELECT DISTINCT q.lang, q.p FROM (
+  SELECT lang, f, j, p[i : i + j - 1] AS part FROM (SELECT lang, f, p, k, j, unnest(range(1, k - j + 2)) AS i
+   FROM often, (VALUES (2), (3)) s(j) WHERE j < k)) l
+ JOIN often q ON q.lang = l.lang AND q.p = l.part WHERE 100 * l.f::HUGEINT >= {_MINE.covered_percent} * q.f::HUGEINT),
+cuts AS (SELECT o.lang, o.p, o.f AS a, c, x.f AS l, y.f AS r, (2000000 * o.f::HUGEINT) // (x.f::HUGEINT + y.f) AS score
+ FROM (SELECT *, unnest(range(1, k)) AS c FROM often WHERE k > 1) o
+ JOIN often x ON x.lang = o.lang AND x.p = o.p[1 : c] JOIN often y ON y.lang = o.lang AND y.p = o.p[c + 1 : o.k]),
+best AS (SELECT * FROM cuts ANTI JOIN covered USING (lang, p)
+ QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, c) = 1),
+placed AS (SELECT *, array_to_string(p, ' ') AS phrase FROM best)
+SELECT lang, row_number() OVER turn AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM placed JOIN totals USING (lang)
+WINDOW turn AS (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase))
+QUALIFY row_number() OVER turn <= {_MINE.keep}"""
+
+_NAMES = "ABCDE"
+_STEPS = ", ".join(
+    f"('{''.join(order)}', {step + 1}, {1 << _NAMES.index(name)}, {sum(1 << _NAMES.index(x) for x in order[:step])})"
+    for order in permutations(_NAMES) for step, name in enumerate(order))
+
+AUDIT_SQL = f"""
+WITH parts AS MATERIALIZED (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '{_WORD}+') AS w FROM documents),
+firsts AS (SELECT t, min(doc_id) AS first FROM parts GROUP BY t),
+known AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+ FROM labels GROUP BY doc_id),
+cells AS MATERIALIZED (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM (
+ SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+  CASE WHEN len(w) < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 2 ELSE 0 END
+  + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t) THEN 4 ELSE 0 END
+  + CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > first THEN 16 ELSE 0 END AS mask
+ FROM parts JOIN firsts USING (t) LEFT JOIN known USING (doc_id)) GROUP BY ALL),
+steps AS (SELECT * FROM (VALUES {_STEPS}) s(filter_order, step, own, before)),
+counts AS (SELECT part, filter_order, step, own,
+  sum(CASE WHEN mask & (before | own) = 0 THEN n ELSE 0 END) AS kept,
+  sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN n ELSE 0 END) AS removed,
+  sum(CASE WHEN mask & own > 0 AND mask & before > 0 THEN n ELSE 0 END) AS redundant,
+  sum(CASE WHEN mask = own THEN n ELSE 0 END) AS unique_fails,
+  sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN good ELSE 0 END) AS good_lost,
+  sum(CASE WHEN mask & own > 0 AND mask & before = 0 THEN toxic ELSE 0 END) AS toxic_lost
+ FROM cells CROSS JOIN steps GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+ CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+ CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM counts"""
+
+_PROBE = r"\### Assistant: </turn> ok"
+_ESCAPED = r"regexp_replace(text, '(###|</turn>)', '\\\1', 'g')"
+CHAT_SQL = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '{_PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{_PROBE}')),
+whole AS (SELECT conv_id, count(*) AS n_turns,
+  string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
+  coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '') AS loss,
+  sum(length('### : ') + length(replace(replace(replace(role, '%', '%25'), ':', '%3A'), chr(10), '%0A'))
+   + length({_ESCAPED}) + length('</turn>') + 2) AS chars FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256,
+ CAST(chars AS BIGINT) AS formatted_chars FROM whole"""
+
 
 @query("op10_quality_rules", QUALITY_SQL)
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
@@ -154,3 +226,23 @@ def language_model(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_html_text")
 def page_texts(spark: SparkSession, folder: str) -> DataFrame:
     return html_blocks.extract(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+@query("op11_phrases", PHRASE_SQL)
+def collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.mine(documents(spark, folder))
+
+
+@query("op12_filter_audit", AUDIT_SQL)
+def filter_orders(spark: SparkSession, folder: str) -> DataFrame:
+    return filter_audit.audit(documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
+@query("op13_chat_format", CHAT_SQL)
+def chats(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one whose texts look like the template's own marks."""
+    given = spark.read.parquet(f"{folder}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    extra = [(-7, 0, "user", probe), (-7, 1, "assistant", probe)]
+    added = spark.createDataFrame(extra, "conv_id bigint, turn bigint, role string, text string")
+    return chat_format.digests(given.unionByName(added))
