@@ -2,8 +2,8 @@
 
 Texts with the same words are one text with a weight. Bands and rows follow from the wanted recall at the
 threshold. Texts that share a band hash are linked to the least of their bucket only; the connected groups of these links
-hold every candidate pair. Inside a group all pairs are verified on the full sets, in blocks of bounded bytes, by
-products of 0/1 matrices: a block pair returns link counts and a spanning forest, never its pairs.
+hold every candidate pair. Inside a group all pairs are verified on the full sets, in blocks of bounded bytes and texts, by
+products of 0/1 matrices: a block pair returns link counts and stars of what it connects, never its pairs.
 """
 
 from __future__ import annotations
@@ -29,7 +29,11 @@ class JoinSettings:
     threshold: float = 0.8
     recall: float = 0.9995
     rows: int = 5
+    # A block of texts that are compared with each other at once: bytes of their windows, and texts.
     block_bytes: int = 4 << 20
+    block_texts: int = 2048
+    # A bucket or copied text with more than this share of all rows is joined by a broadcast.
+    hot_share: int = 1000
 
     @property
     def bands(self) -> int:
@@ -122,36 +126,63 @@ def signatures(docs: DataFrame, cfg: JoinSettings) -> DataFrame:
     return whole_texts(docs).mapInArrow(run, "doc_id bigint, fp string, bands array<bigint>")
 
 
-def candidate_groups(texts: DataFrame) -> DataFrame:
-    """(fp, component) of every text that shares a bucket with another; texts: fp, bands."""
-    hashed = texts.select("fp", F.posexplode("bands").alias("band", "h"))
-    least = hashed.groupBy("band", "h").agg(F.min("fp").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    edges = hashed.join(least, ["band", "h"]).filter("fp <> least").select(
-        F.col("fp").alias("a"), F.col("least").alias("b"))
-    return components(edges.distinct()).withColumnRenamed("node", "fp")
+def _split_join(rows: DataFrame, counted: DataFrame, keys: list[str], total: int, share: int) -> DataFrame:
+    """``rows`` joined with ``counted`` (keys, n, more columns), keys with more than a ``share``-th of the total by a broadcast.
 
+    There are fewer than ``share`` such keys for each row of the total, whatever the size; the others are shuffled.
+    """
+    hot = counted.filter(F.col("n") > total / share)
+    often = rows.join(F.broadcast(hot), keys)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(counted.filter(F.col("n") <= total / share), keys)
+    return often.unionByName(rest)
 
-def full_sets(docs: DataFrame, chosen: DataFrame, cfg: JoinSettings) -> DataFrame:
-    """The distinct windows of the chosen texts (doc_id, fp, weight, component), as sorted 64-bit hashes.
 
-    Rows that repeat a chosen doc_id with other words are told apart by their fingerprint.
-    """
-    rows = whole_texts(docs).join(chosen.select("doc_id").distinct(), "doc_id", "left_semi")
+def candidate_groups(texts: DataFrame, cfg: JoinSettings) -> DataFrame:
+    """(node, component) of every text that shares a bucket with another; texts: node, bands (stored)."""
+    hashed = texts.select("node", F.posexplode("bands").alias("band", "h"))
+    buckets = hashed.groupBy("band", "h").agg(F.min("node").alias("least"), F.count("*").alias("n")).filter("n > 1")
+    buckets = materialize(buckets, "buckets")
+    met = _split_join(hashed, buckets, ["band", "h"], texts.count(), cfg.hot_share)
+    return components(met.filter("node <> least").select(F.col("node").alias("a"), F.col("least").alias("b")))
+
+
+def _windows(cfg: JoinSettings, once: bool):
+    """Per row its fingerprint and distinct windows, as sorted 64-bit hashes; with ``once``, a text once per task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()
         for batch in batches:
             column = batch.column("text")
+            prints = fingerprints(column)
+            if once:
+                new = [k for k, p in enumerate(prints) if p and not (p in seen or seen.add(p))]
+                batch, column, prints = batch.take(pa.array(new, pa.int64())), column.take(pa.array(new, pa.int64())), [prints[k] for k in new]
             sets = [b""] * batch.num_rows
             for first, values, owner in shingle_sets(column, cfg.words):
                 cuts = np.flatnonzero(np.diff(owner)) + 1
                 for part, t in zip(np.split(values, cuts), owner[np.append(0, cuts)] if len(owner) else []):
                     sets[first + int(t)] = np.unique(part).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(fingerprints(column)), pa.array(sets, pa.binary())],
-                names=["doc_id", "fp", "windows"])
+                [batch.column("doc_id"), pa.array(prints, pa.string()), pa.array(sets, pa.binary())], names=["doc_id", "fp", "windows"])
 
-    found = rows.mapInArrow(run, "doc_id bigint, fp string, windows binary").dropDuplicates(["doc_id", "fp"])
-    return found.join(chosen, ["doc_id", "fp"]).drop("doc_id")
+    return run
+
+
+def full_sets(docs: DataFrame, chosen: DataFrame, cfg: JoinSettings) -> DataFrame:
+    """The distinct windows of the chosen texts (doc_id, fp, node, weight, component).
+
+    A text is fetched by its least doc_id; rows that repeat this id with other words are told apart by their fingerprint. Texts all
+    of whose rows have no id are fetched by their fingerprint, each task sending a text once.
+    """
+    schema = "doc_id bigint, fp string, windows binary"
+    texts = whole_texts(docs)
+    known = chosen.filter("doc_id is not null")
+    rows = texts.join(known.select("doc_id").distinct(), "doc_id", "left_semi")
+    found = rows.mapInArrow(_windows(cfg, False), schema).dropDuplicates(["doc_id", "fp"]).join(known, ["doc_id", "fp"])
+    nameless = texts.filter("doc_id is null").mapInArrow(_windows(cfg, True), schema).drop("doc_id")
+    nameless = nameless.join(chosen.filter("doc_id is null").drop("doc_id"), "fp").dropDuplicates(["node"])
+    columns = ["node", "weight", "component", "windows"]
+    return found.select(*columns).union(nameless.select(*columns))
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -184,65 +215,64 @@ def linked(left: list[np.ndarray], right: list[np.ndarray], threshold: float) ->
     return (common > 0) & (common * 1_000_000 >= round(threshold * 1_000_000) * (sizes - common))
 
 
-def _forest(links: np.ndarray, left: list[str], right: list[str]) -> list[tuple[str, str]]:
-    """Edges that connect what the links connect, at most one per text."""
-    names = list(dict.fromkeys([*left, *right]))
-    number = {n: i for i, n in enumerate(names)}
-    parent = list(range(len(names)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    edges = []
-    for i, name in enumerate(left):
-        hits = np.flatnonzero(links[i])
-        for j in hits:
-            a, b = root(number[name]), root(number[right[j]])
-            if a != b:
-                parent[a] = b
-                edges.append((name, right[j]))
-    return edges
+def _forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """(node, least node) of what the links connect: a star per connected group of the block pair."""
+    names, number = np.unique(np.concatenate([left, right]), return_inverse=True)
+    rows, columns = number[: len(left)], number[len(left) :]
+    least = np.arange(len(names))
+    a, b = np.nonzero(links)
+    a, b = rows[a], columns[b]
+    while True:  # labels fall to the least of their neighbours, then to their label's label
+        new = least.copy()
+        np.minimum.at(new, a, least[b])
+        np.minimum.at(new, b, least[a])
+        new = new[new]
+        if (new == least).all():
+            break
+        least = new
+    moved = np.flatnonzero(least != np.arange(len(names)))
+    return list(zip(names[moved].tolist(), names[least[moved]].tolist()))
 
 
 def verify(sets: DataFrame, cfg: JoinSettings) -> DataFrame:
-    """Per block pair of a candidate group: rows (a, b null, links) with counts, and rows (a, b, 0) with edges.
+    """Per block pair of a candidate group: rows (a, b null, links) with counts, and rows (a, b, whole) with stars.
 
-    A group is cut into blocks by the bytes of its sets; a text goes to one row per block pair of its block, and
-    every pair of texts meets in exactly one.
+    A group is cut into blocks by the bytes of its sets and the number of its texts; a text goes to one row per block pair of its
+    block, and every pair of texts meets in exactly one. Stars of a group of one block (whole = 1) are final.
     """
-    size = sets.groupBy("component").agg(
-        F.ceil(F.sum(F.octet_length("windows")) / F.lit(cfg.block_bytes)).cast("int").alias("blocks"))
+    size = sets.groupBy("component").agg(F.greatest(
+        F.ceil(F.sum(F.octet_length("windows")) / F.lit(cfg.block_bytes)),
+        F.ceil(F.count("*") / F.lit(cfg.block_texts))).cast("int").alias("blocks"))
     rows = sets.join(size, "component")
-    block = F.pmod(F.xxhash64("fp"), F.col("blocks").cast("bigint")).cast("int")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int")
     rows = rows.withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("component", "fp", "weight", "windows", "block",
+    rows = rows.select("component", "node", "weight", "windows", "block", "blocks",
                        F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-    schema = pa.schema([("a", pa.string()), ("b", pa.string()), ("links", pa.int64())])
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("links", pa.int64())])
 
     def run(table: pa.Table) -> pa.Table:
         low, high = table.column("low")[0].as_py(), table.column("high")[0].as_py()
-        block = table.column("block").to_numpy()
-        names, weights = table.column("fp").to_pylist(), table.column("weight").to_numpy()
+        whole = int(table.column("blocks")[0].as_py() == 1)
+        block, names, weights = (table.column(c).to_numpy() for c in ("block", "node", "weight"))
         sets = [np.frombuffer(x, np.uint64) for x in table.column("windows").to_pylist()]
         sides = [np.flatnonzero(block == k) for k in (low, high)]
-        counts, edges = {}, []
+        parts = []
         if all(len(s) for s in sides):
-            left, right = ([names[i] for i in s] for s in sides)
             links = linked([sets[i] for i in sides[0]], [sets[i] for i in sides[1]], cfg.threshold)
             if low == high:
                 np.fill_diagonal(links, False)
-            counts = dict(zip(left, (links @ weights[sides[1]]).tolist()))
+            parts.append((names[sides[0]], links @ weights[sides[1]]))
             if low != high:
-                counts |= dict(zip(right, (weights[sides[0]] @ links).tolist()))
-            edges = _forest(links, left, right)
-        rows = [(n, None, c) for n, c in counts.items() if c] + [(a, b, 0) for a, b in edges]
+                parts.append((names[sides[1]], weights[sides[0]] @ links))
+            stars = _forest(links, names[sides[0]], names[sides[1]])
+        else:
+            stars = []
+        rows = [(n, None, c) for nodes, counts in parts for n, c in zip(nodes.tolist(), counts.tolist()) if c]
+        rows += [(a, b, whole) for a, b in stars]
         return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
 
-    return rows.groupBy("component", "low", "high").applyInArrow(run, "a string, b string, links bigint")
+    return rows.groupBy("component", "low", "high").applyInArrow(run, "a bigint, b bigint, links bigint")
 
 
 def classes(docs: DataFrame, cfg: JoinSettings | None = None) -> DataFrame:
@@ -258,24 +288,31 @@ def classes(docs: DataFrame, cfg: JoinSettings | None = None) -> DataFrame:
 
 def _classes(docs: DataFrame, cfg: JoinSettings) -> DataFrame:
     signed = materialize(signatures(docs, cfg), "signatures")
-    texts = materialize(
-        signed.filter("fp <> ''").groupBy("fp")
-        .agg(F.count("*").alias("weight"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "texts")
-    groups = materialize(candidate_groups(texts.select("fp", "bands")), "groups")
-    chosen = texts.drop("bands").join(groups, "fp").filter("doc_id is not null")
+    texts = signed.filter("fp <> ''").groupBy("fp").agg(
+        F.count("*").alias("weight"), F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    texts = materialize(texts.withColumn("node", F.monotonically_increasing_id()), "texts")  # numbers fixed by the table
+    groups = materialize(candidate_groups(texts.select("node", "bands"), cfg), "groups")
+    chosen = texts.drop("bands").join(groups, "node")
     found = materialize(verify(materialize(full_sets(docs, chosen, cfg), "sets"), cfg), "links")
-    counts = found.filter("b is null").groupBy(F.col("a").alias("fp")).agg(F.sum("links").alias("links"))
-    joined = components(found.filter("b is not null").select("a", "b")).withColumnRenamed("node", "fp")
-    named = texts.drop("bands").join(joined, "fp", "left").join(counts, "fp", "left").withColumn(
-        "component", F.coalesce("component", "fp"))
-    totals = named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("weight").alias("class_size"))
-    table = materialize(named.join(totals, "component").select(
-        "fp", "component", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
-    rows = signed.select("doc_id", "fp").join(table, "fp", "left")
-    return rows.select(
-        "doc_id", "fp", "component", F.coalesce("class_id", "doc_id").alias("class_id"),
-        F.coalesce("class_size", F.lit(1)).cast("bigint").alias("class_size"),
-        F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+    counts = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
+    stars = found.filter("b is not null")
+    # groups of one block are joined already; only those of several need another search for what hangs together
+    joined = stars.filter("links = 1").select(F.col("a").alias("node"), F.col("b").alias("component"))
+    joined = joined.union(components(stars.filter("links = 0").select("a", "b")))
+    named = texts.drop("bands").join(joined, "node", "left").join(counts, "node", "left").withColumn(
+        "component", F.coalesce("component", "node"))
+    named = materialize(named, "named")
+    totals = materialize(named.groupBy("component").agg(
+        F.min("doc_id").alias("class_id"), F.sum("weight").alias("class_size"), F.count("*").alias("n")), "totals")
+    table = _split_join(named, totals, ["component"], named.count(), cfg.hot_share).drop("n")
+    table = materialize(table.select(
+        "fp", "weight", "component", "class_id", "class_size", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links")), "classes")
+    rows = signed.select("doc_id", "fp")
+    worded = _split_join(rows.filter("fp <> ''"), table.withColumnRenamed("weight", "n"), ["fp"], signed.count(), cfg.hot_share)
+    alone = rows.filter("fp = ''").select(
+        "doc_id", "fp", F.lit(None).cast("bigint").alias("component"), F.col("doc_id").alias("class_id"),
+        F.lit(1).cast("bigint").alias("class_size"), F.lit(0).cast("bigint").alias("n_links"))
+    return worded.select(*alone.columns).union(alone)
 
 
 def keep_one(docs: DataFrame, cfg: JoinSettings | None = None) -> DataFrame:

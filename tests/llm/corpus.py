@@ -28,7 +28,9 @@ def messy_rows(seed: int = 1) -> list[tuple]:
     rows = [(k, t, draw.choice(["en", "de", None]), "s", len(t), "x", 7, "k") for k, t in enumerate(texts)]
     rows += [(5, prose(draw, 60), "en", None, None, None, None, None), (5, rows[5][1], None, "s", 1, "x", 7, "k")]
     rows += [(None, base, "en", "s", 1, "x", 7, "k"), (None, None, None, None, None, None, None, None), (900, None, "en", "s", 0, "", 0, "")]
-    rows += [rows[30]]
+    rows += [rows[30], (None, "x y " + base, "en", "s", 1, "x", 7, "k"), (None, "x y " + base, None, "s", 1, "x", 7, "k")]
+    alone = prose(draw, 90)  # near copies of which none has an id
+    rows += [(None, alone + end, "en", "s", 1, "x", 7, "k") for end in ("", " one", " two")]
     draw.shuffle(rows)
     return rows
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from shoptrail.llm import bpe, chunk_dedup, decontaminate, html_blocks, ngram_join, ngram_lm  # noqa: E402
 from shoptrail.llm import queries as text_queries  # noqa: E402
 from shoptrail.llm import risk_rules, simple8b, suffix_dedup, toxicity  # noqa: E402
+from shoptrail.llm.components import components  # noqa: E402
 
 tokenizers = pytest.importorskip("tokenizers")
 public = pytest.importorskip("public_tokenizers")
@@ -131,8 +132,8 @@ def shingles(text):
     return frozenset(tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-@pytest.mark.parametrize("block_bytes", [4 << 20, 3_000])
-def test_ngram_classes_and_links(docs, rows, none, block_bytes):
+@pytest.mark.parametrize("settings", [{}, dict(block_bytes=3_000), dict(block_texts=2, hot_share=4)])
+def test_ngram_classes_and_links(docs, rows, none, settings):
     sets = [shingles(r[1]) for r in rows]
     links = [[j for j, b in enumerate(sets) if i != j and a and 5 * len(a & b) >= 4 * len(a | b)] for i, a in enumerate(sets)]
     label = list(range(len(rows)))
@@ -143,7 +144,7 @@ def test_ngram_classes_and_links(docs, rows, none, block_bytes):
         ids = [rows[j][0] for j in range(len(rows)) if label[j] == label[i] and rows[j][0] is not None]
         size = sum(1 for x in label if x == label[i])
         want.append((r[0], min(ids) if ids else None, size, len(links[i])))
-    cfg = ngram_join.JoinSettings(block_bytes=block_bytes)
+    cfg = ngram_join.JoinSettings(**settings)
     assert bag(tuple(r) for r in ngram_join.classes(docs, cfg).drop("fp").collect()) == bag(want)
     kept = ngram_join.keep_one(docs, cfg)
     assert kept.columns == docs.columns
@@ -153,6 +154,22 @@ def test_ngram_classes_and_links(docs, rows, none, block_bytes):
     assert ngram_join.classes(none).count() == 0 and ngram_join.keep_one(none).count() == 0
 
 
+def test_many_short_near_copies(spark):
+    """One group of thousands of texts of twelve windows: compared in blocks of bounded texts, every link counted."""
+    n = 3000
+    base = " ".join(f"w{k}" for k in range(15))
+    texts = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(F.lit(base + " end"), F.col("id").cast("string")).alias("text"))
+    cfg = ngram_join.JoinSettings(block_texts=400)
+    got = ngram_join.classes(texts, cfg).groupBy("class_id", "class_size", "n_links").count().collect()
+    assert [tuple(r) for r in got] == [(0, n, n - 1, n)]
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 300)] + [(250, 99), (5, 5), (300, 301), (301, 300)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(range(100, 161), 100), **dict.fromkeys([7, 99, *range(200, 300)], 7), 300: 300, 301: 300}
+
+
 def test_bands_reach_the_recall():
     cfg = ngram_join.JoinSettings()
     assert 1 - (1 - cfg.threshold**cfg.rows) ** cfg.bands >= cfg.recall
