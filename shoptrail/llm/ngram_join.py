@@ -20,7 +20,7 @@ from pyspark.sql.types import StringType, StructType
 
 from shoptrail.llm.common import Hasher, chain, flat, lower_ascii, mix, prepare, slabs, whole_texts, word_spans
 from shoptrail.llm.components import components
-from shoptrail.session import materialize
+from shoptrail.session import fits, materialize
 
 
 @dataclass(frozen=True)
@@ -243,7 +243,10 @@ def verify(sets: DataFrame, cfg: JoinSettings) -> DataFrame:
     size = sets.groupBy("component").agg(F.greatest(
         F.ceil(F.sum(F.octet_length("windows")) / F.lit(cfg.block_bytes)),
         F.ceil(F.count("*") / F.lit(cfg.block_texts))).cast("int").alias("blocks"))
-    rows = sets.join(size, "component")
+    # only groups of several blocks are told about it: at most one for so many bytes or texts
+    several = materialize(size.filter("blocks > 1"), "large-groups")
+    known = F.broadcast(several) if fits(several, 1_000_000) else several
+    rows = sets.join(known, "component", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("bigint")).cast("int")
     rows = rows.withColumn("block", block).withColumn(
         "other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
