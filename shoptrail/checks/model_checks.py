@@ -1,8 +1,9 @@
 """Priors, models, calibration, scoring and the staged run.
 
-Priors, joins and request preparation are compared with SQL. Fitted models have no SQL
-counterpart; their properties are asserted in ``tests/``. Model sizes are kept small by the
-parameters a caller would use, the rows are always all rows.
+Priors, joins, feature preparation, calibration and request preparation are compared with SQL. Fitted models have no SQL
+counterpart; their properties are asserted in ``tests/``. All models have the sizes of ``Settings``: up to
+``max_trees`` trees with patience, ``folds`` folds, ``search_trials`` trials. Queries of one session that need the same
+fitted models (the folds', the trials') learn them once.
 """
 
 from __future__ import annotations
@@ -30,9 +31,8 @@ from shoptrail.plans.training import pool_and_validation, train_model
 from shoptrail.session import fresh_path, materialize
 from shoptrail.sources import tables as S
 
-TREES = 5
-TRIALS = 2
-SMALL = L.TreeParams(max_depth=3)
+PARAMS = L.TreeParams()
+_LEARNT: dict[tuple[str, str, str], list] = {}
 
 
 def _matrix(spark, folder) -> DataFrame:
@@ -48,10 +48,45 @@ def _pool_and_validation(spark, folder):
     return pool, validation
 
 
-def _fitted_scores(spark, folder) -> DataFrame:
-    """Validation rows scored by a model fitted on the pool."""
+def _folds(spark, folder) -> L.BinnedRows:
+    pool, _ = _pool_and_validation(spark, folder)
+    return L.by_fold(L.folded(pool, CFG), CFG)
+
+
+def _learnt(spark, folder, name, learn) -> list:
+    """Models of this session and folder; a model is its trees, no stored table is kept."""
+    key = (spark.sparkContext.applicationId, folder, name)
+    if key not in _LEARNT:
+        _LEARNT[key] = learn()
+    return _LEARNT[key]
+
+
+def _crossed(spark, folder) -> L.CrossValidation:
+    matrix = _folds(spark, folder)
+    models = _learnt(spark, folder, "folds", lambda: L.fold_models(matrix, CFG, PARAMS, CFG.max_trees))
+    return L.crossed(matrix, models, CFG)
+
+
+def _search(spark, folder) -> L.Search:
+    matrix = _folds(spark, folder)
+    return L.judged(matrix, _learnt(spark, folder, "trials", lambda: L.trial_models(matrix, CFG, CFG.max_trees)))
+
+
+def _mean_trees(spark, folder) -> int:
+    matrix = _folds(spark, folder)
+    models = _learnt(spark, folder, "folds", lambda: L.fold_models(matrix, CFG, PARAMS, CFG.max_trees))
+    return L.CrossValidation(matrix.table, [L.tree_count(m) for m in models]).mean_trees
+
+
+def _refit(spark, folder):
+    """The model on the whole pool, with the mean number of trees of its folds; and the validation rows."""
     pool, validation = _pool_and_validation(spark, folder)
-    model = L.fit_trees(pool, CFG, SMALL, TREES)
+    return L.fit_trees(pool, CFG, PARAMS, _mean_trees(spark, folder)), validation
+
+
+def _fitted_scores(spark, folder) -> DataFrame:
+    """Validation rows scored by the refitted model."""
+    model, validation = _refit(spark, folder)
     return materialize(L.score_rows(model, validation, CFG), "validation-scores")
 
 
@@ -142,16 +177,45 @@ def _prepared(spark, folder, stages) -> DataFrame:
     return Pipeline(stages=stages).fit(rows).transform(rows)
 
 
-@check("l2_tree_features")
+_POOL_ROWS = """
+(SELECT m.*, cat_purchase_rate FROM matrix m JOIN parts p ON p.user_id = m.user_id AND p.category_l1 = m.category_l1
+ JOIN prior r ON r.category_l1 = m.category_l1 WHERE part = 'pool')"""
+
+
+def _numbers(vector: str, names) -> list:
+    """The places of a vector as columns with four decimals; adding 0 turns a negative zero into a zero."""
+    values = L.vector_to_array(vector)
+    return [(F.round(F.get(values, F.lit(i)) + NUDGE, 4) + 0.0).alias(n) for i, n in enumerate(names)]
+
+
+@check(
+    "l2_tree_features",
+    "SELECT user_id, category_l1, "
+    + ", ".join(f"round(coalesce({c}, -1) + {NUDGE}, 4) + CAST(0 AS DOUBLE) AS {c}" for c in CFG.numeric_features)
+    + f", CAST(list_position({sorted(CFG.categories)}, category_l1) - 1 AS DOUBLE) AS category_index FROM {_POOL_ROWS}",
+    "matrix parts prior",
+)
 def l2(spark, folder):
+    """What a tree model is given: numbers with nulls as -1, and the category by its place in the alphabet."""
     rows = _prepared(spark, folder, L.tree_inputs(CFG))
-    return rows.select(USER_KEY, CATEGORY, L.vector_to_array("features").alias("features"))
+    index = F.round(F.get(L.vector_to_array("features"), F.lit(len(CFG.numeric_features))), 6).alias("category_index")
+    return rows.select(USER_KEY, CATEGORY, *_numbers("features", CFG.numeric_features), index)
 
 
-@check("l4_standard_scaling")
+@check(
+    "l4_standard_scaling",
+    "SELECT user_id, category_l1, "
+    + ", ".join(
+        f"round(CASE WHEN stddev_samp(x.{c}) OVER () > 0 THEN (x.{c} - avg(x.{c}) OVER ()) / stddev_samp(x.{c}) OVER () ELSE 0 END"
+        f" + {NUDGE}, 4) + CAST(0 AS DOUBLE) AS {c}" for c in CFG.numeric_features)
+    + " FROM (SELECT user_id, category_l1, "
+    + ", ".join(f"CAST(coalesce({c}, -1) AS DOUBLE) AS {c}" for c in CFG.numeric_features) + f" FROM {_POOL_ROWS}) x",
+    "matrix parts prior",
+)
 def l4(spark, folder):
+    """Numbers less their mean, in standard deviations of the pool; a constant column is 0."""
     rows = _prepared(spark, folder, L.linear_inputs(CFG))
-    return rows.select(USER_KEY, CATEGORY, L.vector_to_array("scaled").alias("scaled"))
+    return rows.select(USER_KEY, CATEGORY, *_numbers("scaled", CFG.numeric_features))
 
 
 @check(
@@ -188,35 +252,23 @@ def l7(spark, folder):
 
 @check("l8_cross_validation")
 def l8(spark, folder):
-    pool, _ = _pool_and_validation(spark, folder)
-    return L.cross_validate_trees(L.folded(pool, CFG), CFG, SMALL, TREES).reported()
-
-
-def _trials(spark, folder) -> DataFrame:
-    pool, _ = _pool_and_validation(spark, folder)
-    trials = L.search_params(L.folded(pool, CFG), CFG, TREES, TRIALS)
-    rows = [{**t, "max_depth": t["params"].max_depth, "step_size": t["params"].step_size} for t in trials]
-    columns = "trial int, auc double, best_trees int, max_depth int, step_size double"
-    return L.comparison_table(spark, rows, columns)
+    return _crossed(spark, folder).reported()
 
 
 @check("l9_random_search")
 def l9(spark, folder):
-    return _trials(spark, folder)
+    """A row per trial: its seven drawn parameters, the number of trees kept and the area on the tuning fold."""
+    return _search(spark, folder).table
 
 
 @check("o9_best_trial")
 def o9(spark, folder):
-    best = F.max_by(F.struct("trial", "max_depth", "step_size"), F.struct("auc", -F.col("trial")))
-    return _trials(spark, folder).agg(best.alias("best")).select("best.*")
+    return L.best_trial(_search(spark, folder).table)
 
 
 @check("l10_refit_mean_trees")
 def l10(spark, folder):
-    pool, validation = _pool_and_validation(spark, folder)
-    crossed = L.cross_validate_trees(L.folded(pool, CFG), CFG, SMALL, TREES)
-    model = L.fit_trees(pool, CFG, SMALL, crossed.mean_trees)
-    return L.score_rows(model, validation, CFG)
+    return _fitted_scores(spark, folder)
 
 
 @check("l11_final_fit")
@@ -224,67 +276,107 @@ def l11(spark, folder):
     matrix = _matrix(spark, folder)
     train, test = (matrix.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
     _, _, prior = pool_and_validation(train, CFG)
-    model = L.fit_trees(L.attach_prior(train, prior), CFG, SMALL, TREES)
+    model = L.fit_trees(L.attach_prior(train, prior), CFG, PARAMS, _mean_trees(spark, folder))
     return L.score_rows(model, L.attach_prior(test, prior), CFG)
 
 
 @check("l13_model_comparison")
 def l13(spark, folder):
     pool, validation = _pool_and_validation(spark, folder)
-    return L.compare_models(materialize(pool, "pool"), materialize(validation, "validation"), CFG, TREES)
-
-
-def _importance(spark, folder) -> DataFrame:
-    pool, _ = _pool_and_validation(spark, folder)
-    return L.cross_validate_trees(L.folded(pool, CFG), CFG, SMALL, TREES).importance
+    return L.compare_models(materialize(pool, "pool"), materialize(validation, "validation"), CFG, CFG.max_trees)
 
 
 @check("l14_split_importance")
 def l14(spark, folder):
-    return _importance(spark, folder)
+    """fold, feature, number of splits."""
+    return _crossed(spark, folder).splits.withColumnRenamed("model", "fold")
 
 
 @check("a26_mean_over_folds")
 def a26(spark, folder):
-    return _importance(spark, folder).agg(F.count("*").alias("features"), F.sum("importance").alias("mean_splits"))
+    return _crossed(spark, folder).importance
 
 
 @check("o7_top_features")
 def o7(spark, folder):
-    return L.top_features(_importance(spark, folder), 20)
+    return L.top_features(_crossed(spark, folder).importance, 20)
+
+
+@check("l8_training_history")
+def l8_history(spark, folder):
+    """The held-out loss of every fold after every round, and which round was kept."""
+    return _crossed(spark, folder).history.withColumnRenamed("model", "fold")
 
 
 @check("l15_sampling_experiment")
 def l15(spark, folder):
     pool, validation = _pool_and_validation(spark, folder)
-    return L.sampling_experiment(materialize(pool, "pool"), materialize(validation, "validation"), CFG, TREES)
+    return L.sampling_experiment(materialize(pool, "pool"), materialize(validation, "validation"), CFG)
 
 
 # --- calibration and reports on fitted scores -------------------------------------------------------
 
 
+# The isotonic value of a point is the greatest, over all starts before it, of the least mean of any run from there past it.
+_ISOTONIC = f"""
+, halves AS (SELECT user_id, row_number() OVER (ORDER BY md5('42:calibration:' || user_id), user_id)
+  <= floor(count(*) OVER () * CAST({CFG.calibration_share} AS DOUBLE)) AS fitted FROM (SELECT DISTINCT user_id FROM scored)),
+points AS (SELECT score, sum(label) AS pos, count(*) AS n FROM scored JOIN halves USING (user_id) WHERE fitted GROUP BY score),
+sums AS MATERIALIZED (SELECT row_number() OVER (ORDER BY score) AS i, score, sum(pos) OVER (ORDER BY score) AS p,
+  sum(n) OVER (ORDER BY score) AS c FROM points),
+means AS MATERIALIZED (SELECT a.i AS j, b.i AS k, (b.p - coalesce(z.p, 0)) / (b.c - coalesce(z.c, 0)) AS m
+ FROM sums a JOIN sums b ON b.i >= a.i LEFT JOIN sums z ON z.i = a.i - 1),
+fit AS (SELECT s.score, max(m) AS value FROM (SELECT s.i, j, min(m) AS m FROM sums s JOIN means ON j <= s.i AND k >= s.i GROUP BY s.i, j) x
+ JOIN sums s ON s.i = x.i GROUP BY s.score),
+near AS (SELECT s.score, max(f.score) FILTER (f.score <= s.score) AS low, min(f.score) FILTER (f.score >= s.score) AS high
+ FROM (SELECT DISTINCT score FROM scored) s CROSS JOIN fit f GROUP BY s.score),
+known AS (SELECT n.score, CASE WHEN low IS NULL THEN h.value WHEN high IS NULL OR high = low THEN l.value
+  ELSE l.value + (h.value - l.value) * (n.score - low) / (high - low) END AS calibrated
+ FROM near n LEFT JOIN fit l ON l.score = low LEFT JOIN fit h ON h.score = high),
+calibrated AS (SELECT user_id, category_l1, label, score, calibrated FROM scored JOIN halves USING (user_id) JOIN known USING (score)
+ WHERE NOT fitted)"""
+
+
 def _calibrated(spark, folder) -> DataFrame:
-    rows = _fitted_scores(spark, folder)
-    users = materialize(rows.select(USER_KEY).distinct(), "validation-users")
+    """Half of the users teach the calibration of the pseudo-score, the rows of the others are calibrated."""
+    rows = stored_scores(spark, folder)
+    users = materialize(rows.select(USER_KEY).distinct(), "scored-users")
     half = P.calibration_cut(users, CFG).member()
     return L.calibrate(L.fit_calibrator(rows.filter(half)), rows.filter(~half))
 
 
-@check("v7_isotonic_calibration")
+@check(
+    "v7_isotonic_calibration",
+    _ISOTONIC + f" SELECT user_id, category_l1, score, round(calibrated + {NUDGE}, 6) AS calibrated FROM calibrated",
+    "scored",
+)
 def v7(spark, folder):
-    return _calibrated(spark, folder).select(USER_KEY, CATEGORY, "score", "calibrated")
+    rows = _calibrated(spark, folder).withColumn("calibrated", F.round(F.col("calibrated") + NUDGE, 6))
+    return rows.select(USER_KEY, CATEGORY, "score", "calibrated")
 
 
-@check("v8_calibration_report")
+def _loss_sql(score: str) -> str:
+    margin = M.PROBABILITY_MARGIN
+    p = f"least(greatest({score}, CAST({margin!r} AS DOUBLE)), 1 - CAST({margin!r} AS DOUBLE))"
+    return f"round(avg(-(label * ln({p}) + (1 - label) * ln(1 - {p}))), 6)"
+
+
+@check(
+    "v8_calibration_report",
+    _ISOTONIC + f""" SELECT {_loss_sql('score')} AS log_loss_before, {_loss_sql('calibrated')} AS log_loss_after,
+ round(avg(score), 6) AS mean_prob_before, round(avg(calibrated), 6) AS mean_prob_after, round(avg(label), 6) AS true_rate FROM calibrated""",
+    "scored",
+)
 def v8(spark, folder):
-    return L.calibration_report(_calibrated(spark, folder))
+    report = L.calibration_report(_calibrated(spark, folder))
+    return report.select(*[F.round(c, 6).alias(c) for c in report.columns])
 
 
 @check("v11_run_record")
 def v11(spark, folder):
     matrix = _matrix(spark, folder)
     train, test = (matrix.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
-    return train_model(train, test, CFG, TREES, TRIALS).record
+    return train_model(train, test, CFG).record
 
 
 # --- tables written and read back -------------------------------------------------------------------
@@ -349,9 +441,9 @@ def s8(spark, folder):
 
 @check("s9_model_save_load")
 def s9(spark, folder):
-    pool, validation = _pool_and_validation(spark, folder)
+    model, validation = _refit(spark, folder)
     path = fresh_path(spark, "model")
-    S.save_model(L.fit_trees(pool, CFG, SMALL, TREES), path)
+    S.save_model(model, path)
     return L.score_rows(S.load_model(path), validation, CFG)
 
 
@@ -417,8 +509,8 @@ def c8_features(spark, folder):
 
 @check("c8_score_batch")
 def c8(spark, folder):
-    pool, _, prior = pool_and_validation(_train(spark, folder), CFG)
-    model = L.fit_trees(pool, CFG, SMALL, TREES)
+    _, _, prior = pool_and_validation(_train(spark, folder), CFG)
+    model, _ = _refit(spark, folder)
     return scoring.score_batch(model, _requests(spark, folder), prior, CFG)
 
 
@@ -429,5 +521,5 @@ def c10(spark, folder):
     text = raw(spark, folder).withColumn("event_time", text_time()).select(*[f.name for f in WIDE_RAW.fields])
     text = text.withColumns({c: F.col(c).cast("int") for c in ("product_id", "user_id")})
     text.write.option("header", True).csv(csv)
-    StagedRun(spark, home, CFG, [csv], TREES, 1).run()
+    StagedRun(spark, home, CFG, [csv]).run()
     return spark.read.parquet(f"{home}/predictions/parquet")

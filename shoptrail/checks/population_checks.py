@@ -260,5 +260,4 @@ GROUP BY category_l1 HAVING sum(label) >= 45""",
 def c9(spark, folder):
     events = stored_clean(spark, folder)
     train, _ = P.split_users(_pool_of(events), CFG)
-    rows = P.full_scaffold(train.select(USER_KEY), events)
-    return P.category_support(P.attach_labels(rows, P.label_pairs(events, CFG)), 45)
+    return P.support_of_users(train, P.label_pairs(events, CFG), events, 45)

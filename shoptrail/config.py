@@ -52,6 +52,7 @@ class Settings:
     search_trials: int = 20
     max_trees: int = 2000
     experiment_trees: int = 200
+    bagged_trees: int = 100
     # Rounds without a better held-out loss after which boosting stops.
     patience: int = 50
     # Models fitted at the same time: each is a chain of short jobs that alone leaves a cluster

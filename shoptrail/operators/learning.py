@@ -1,4 +1,4 @@
-"""Category prior, feature preparation, model fitting and model comparison on MLlib."""
+"""Category prior, feature preparation, model fitting and model comparison."""
 
 from __future__ import annotations
 
@@ -12,20 +12,32 @@ from functools import partial, reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoptrail.config import CATEGORY, PRIOR, USER_KEY, Settings
-from shoptrail.operators.metrics import log_loss_of, metric_values
+from shoptrail.operators.boosting import (
+    MISSING,
+    BinnedRows,
+    BoostedTrees,
+    Fit,
+    TreeParams,
+    best_round,
+    binned,
+    boost,
+    loss_history,
+    score_frame,
+    scores_by_part,
+    scores_of_all,
+    split_table,
+)
+from shoptrail.operators.calibration import calibrate, calibration_report, fit_calibrator
+from shoptrail.operators.metrics import auc_from_counts, metric_values
 from shoptrail.operators.population import positive_users_rows, with_fold
-from shoptrail.session import fresh_path, materialize, work_dir
-
-# Fixed value: what a missing number is replaced with.
-MISSING = -1.0
+from shoptrail.session import materialize
 
 
 # --- category prior -----------------------------------------------------------------------------
@@ -99,60 +111,38 @@ def linear_inputs(cfg: Settings) -> list:
 # --- models -----------------------------------------------------------------------------------------
 
 
-@dataclass(frozen=True)
-class TreeParams:
-    """Boosting parameters, named as in MLlib."""
-
-    max_depth: int = 5
-    min_instances: int = 20
-    step_size: float = 0.1
-    subsampling: float = 1.0
-    feature_share: float = 1.0
-    # At least the number of categories plus one for unknown ones.
-    max_bins: int = 64
-
-    def classifier(self, trees: int, seed: int) -> GBTClassifier:
-        share = "all" if self.feature_share >= 1.0 else str(self.feature_share)
-        return GBTClassifier(
-            featuresCol="features",
-            labelCol="label",
-            maxIter=trees,
-            maxDepth=self.max_depth,
-            minInstancesPerNode=self.min_instances,
-            stepSize=self.step_size,
-            subsamplingRate=self.subsampling,
-            featureSubsetStrategy=share,
-            seed=seed,
-            maxBins=self.max_bins,
-            checkpointInterval=10,
-        )
-
-
-# The ranges of the random search (leaves, rows per leaf, learning rate, row share, feature share).
+# The ranges of the random search (leaves, rows per leaf, learning rate, row share, feature share, penalties).
 LEAVES, LEAF_ROWS, LEARNING_RATE, ROW_SHARE, FEATURE_SHARE = (15, 127), (20, 199), (0.02, 0.15), (0.6, 1.0), (0.6, 1.0)
+PENALTIES = (0.0, 0.1, 0.5, 1.0)
 
 
 def draw_params(cfg: Settings, trials: int) -> list[TreeParams]:
-    """Seeded random search space. Leaf counts become the depth that holds them."""
+    """Seeded random search space of seven parameters. The depth is the least that holds the drawn leaves."""
     draw = random.Random(cfg.seed)
-    return [
-        TreeParams(
-            max_depth=math.ceil(math.log2(draw.randint(*LEAVES))),
+    drawn = []
+    for _ in range(trials):
+        leaves = draw.randint(*LEAVES)
+        drawn.append(TreeParams(
+            max_depth=math.ceil(math.log2(leaves)),
+            leaves=leaves,
             min_instances=draw.randint(*LEAF_ROWS),
             step_size=draw.uniform(*LEARNING_RATE),
             subsampling=draw.uniform(*ROW_SHARE),
             feature_share=draw.uniform(*FEATURE_SHARE),
-        )
-        for _ in range(trials)
-    ]
+            l1=draw.choice(PENALTIES),
+            l2=draw.choice(PENALTIES),
+        ))
+    return drawn
 
 
 def probability() -> Column:
     return vector_to_array("probability")[1]
 
 
-def score_rows(model: PipelineModel, rows: DataFrame, cfg: Settings, name: str = "score") -> DataFrame:
+def score_rows(model: PipelineModel | BoostedTrees, rows: DataFrame, cfg: Settings, name: str = "score") -> DataFrame:
     """Keys and label of the input rows, as they were before imputation, with the probability of 1."""
+    if isinstance(model, BoostedTrees):
+        return score_frame(model, rows, _keys(rows), name)
     kept = rows.withColumn("kept", F.struct(*_keys(rows)))
     scored = model.transform(impute(kept, cfg))
     return scored.select("kept.*", probability().alias(name))
@@ -166,44 +156,11 @@ def _keys(rows: DataFrame) -> list[str]:
 
 def fit_trees(
     rows: DataFrame, cfg: Settings, params: TreeParams, trees: int, early_stop_column: str | None = None
-) -> PipelineModel:
-    """Boosted trees. With ``early_stop_column``, the rows it marks are held out and decide how many."""
-    if early_stop_column:
-        held_out = F.col(early_stop_column)
-        return _fit_until_worse(rows.filter(~held_out), rows.filter(held_out), cfg, params, trees)
-    work_dir(rows.sparkSession)  # boosting cuts its lineage there every ten trees
-    stages = [*tree_inputs(cfg), params.classifier(trees, cfg.seed)]
-    return Pipeline(stages=stages).fit(impute(rows, cfg))
-
-
-def best_round(losses: Sequence[float], patience: int) -> int:
-    """The number of rounds with the least loss, looking no further than ``patience`` rounds past it."""
-    best = 0
-    for k, loss in enumerate(losses):
-        if loss < losses[best]:
-            best = k
-        elif k - best >= patience:
-            break
-    return best + 1
-
-
-def _fit_until_worse(
-    rows: DataFrame, held_out: DataFrame, cfg: Settings, params: TreeParams, most: int
-) -> PipelineModel:
-    """As many trees as the held-out loss wants, with patience.
-
-    Trees are fitted in runs of doubling length until the best round lies ``patience`` rounds back; the loss of every
-    round comes from one pass over the held-out rows. With the seed of the run, the best number is fitted again.
-    """
-    trees = min(most, 2 * cfg.patience)
-    while True:
-        model = fit_trees(rows, cfg, params, trees)
-        prepared = PipelineModel(model.stages[:-1]).transform(impute(held_out, cfg))
-        losses = model.stages[-1].evaluateEachIteration(prepared.select("features", F.col("label").cast("double")))
-        best = best_round(losses, cfg.patience)
-        if best + cfg.patience <= trees or trees >= most:
-            return model if best == trees else fit_trees(rows, cfg, params, best)
-        trees = min(most, 2 * trees)
+) -> BoostedTrees:
+    """Boosted trees. With ``early_stop_column``, the rows it marks are held out and decide how many, with patience."""
+    part = F.col(early_stop_column).cast("int") if early_stop_column else F.lit(0)
+    given = binned(rows, cfg, [], part, most=params.max_bins)
+    return boost(given, [Fit(params, trees, (0,), (1,) if early_stop_column else ())], cfg)[0]
 
 
 def fit_linear(rows: DataFrame, cfg: Settings, c: float = 1.0) -> PipelineModel:
@@ -222,30 +179,30 @@ def fit_linear(rows: DataFrame, cfg: Settings, c: float = 1.0) -> PipelineModel:
     return Pipeline(stages=[*linear_inputs(cfg), classifier]).fit(impute(rows, cfg))
 
 
-def tree_count(model: PipelineModel) -> int:
-    return model.stages[-1].getNumTrees
+def fit_forest(rows: DataFrame, cfg: Settings, trees: int | None = None) -> PipelineModel:
+    """Bagged trees, the second family of trees in the comparison."""
+    classifier = RandomForestClassifier(
+        featuresCol="features", labelCol="label", numTrees=trees or cfg.bagged_trees, maxDepth=8, minInstancesPerNode=20,
+        maxBins=64, seed=cfg.seed)
+    return Pipeline(stages=[*tree_inputs(cfg), classifier]).fit(impute(rows, cfg))
+
+
+def tree_count(model: BoostedTrees) -> int:
+    return len(model.trees)
+
 
+def feature_names(cfg: Settings) -> list[str]:
+    return [*cfg.numeric_features, CATEGORY]
 
-def split_counts(model: PipelineModel, cfg: Settings) -> DataFrame:
-    """feature -> number of splits, read from the saved nodes of the trees."""
-    spark = SparkSession.builder.getOrCreate()
-    path = fresh_path(spark, "trees")
-    model.stages[-1].write().save(path)
-    nodes = spark.read.parquet(f"{path}/data")
-    if "nodeData" in nodes.columns:
-        nodes = nodes.select("nodeData.*")
-    used = nodes.filter(F.col("leftChild") >= 0).groupBy(F.col("split.featureIndex").alias("position"))
-    names = [*cfg.numeric_features, CATEGORY]
-    # One row per feature, from the configured list.
-    features = spark.createDataFrame(list(enumerate(names)), "position int, feature string")
-    counted = features.join(used.agg(F.count("*").alias("splits")), "position", "left")
-    return counted.select("feature", F.coalesce("splits", F.lit(0)).alias("splits"))
 
+def split_counts(model: BoostedTrees, cfg: Settings) -> DataFrame:
+    """feature -> number of splits in the model's trees."""
+    return split_table(SparkSession.builder.getOrCreate(), [model], feature_names(cfg)).drop("model")
 
-def mean_importance(frames: Sequence[DataFrame]) -> DataFrame:
-    """Split counts averaged over models."""
-    stacked = reduce(DataFrame.unionByName, frames)
-    return stacked.groupBy("feature").agg(F.avg("splits").alias("importance"))
+
+def mean_over_models(splits: DataFrame) -> DataFrame:
+    """Split counts (model, feature, splits) averaged over models."""
+    return splits.groupBy("feature").agg(F.avg("splits").alias("importance"))
 
 
 def top_features(importance: DataFrame, n: int = 20) -> DataFrame:
@@ -257,11 +214,13 @@ def top_features(importance: DataFrame, n: int = 20) -> DataFrame:
 
 @dataclass
 class CrossValidation:
-    """Held-out scores of every fold, with what the refit needs."""
+    """Held-out scores of every fold, with what the refit needs; ``history`` and ``splits`` are tables by fold (``model``)."""
 
     scores: DataFrame
     best_trees: list[int] = field(default_factory=list)
     importance: DataFrame | None = None
+    history: DataFrame | None = None
+    splits: DataFrame | None = None
 
     @property
     def mean_trees(self) -> int:
@@ -278,6 +237,11 @@ def folded(pool: DataFrame, cfg: Settings) -> DataFrame:
     return materialize(with_fold(pool, cfg), "folded")
 
 
+def by_fold(rows: DataFrame | BinnedRows, cfg: Settings) -> BinnedRows:
+    """Rows with ``fold`` on one matrix of bins, for every fold and trial; such a matrix is taken as it is."""
+    return rows if isinstance(rows, BinnedRows) else binned(rows, cfg, _keys(rows), F.col("fold"))
+
+
 def together(spark: SparkSession, jobs: Sequence[Callable], cfg: Settings) -> list:
     """Results of independent driver-side jobs, several at a time, in the order given."""
     with ThreadPoolExecutor(max(1, cfg.parallel_fits)) as workers:
@@ -285,43 +249,104 @@ def together(spark: SparkSession, jobs: Sequence[Callable], cfg: Settings) -> li
         return [w.result() for w in waiting]
 
 
-def cross_validate_trees(rows: DataFrame, cfg: Settings, params: TreeParams, trees: int) -> CrossValidation:
-    """One boosted model per fold, stopped early on that fold, scoring that fold."""
+def _others(cfg: Settings, fold: int) -> tuple[int, ...]:
+    return tuple(k for k in range(cfg.folds) if k != fold)
 
-    def one(fold: int):
-        held_out = F.col("fold") == fold
-        model = fit_trees(rows.withColumn("held_out", held_out), cfg, params, trees, "held_out")
-        return score_rows(model, rows.filter(held_out), cfg), tree_count(model), split_counts(model, cfg)
 
-    done = together(rows.sparkSession, [partial(one, k) for k in range(cfg.folds)], cfg)
-    scores = materialize(reduce(DataFrame.unionByName, [d[0] for d in done]), "held-out-scores")
-    return CrossValidation(scores, [d[1] for d in done], mean_importance([d[2] for d in done]))
+def fold_models(matrix: BinnedRows, cfg: Settings, params: TreeParams, trees: int) -> list[BoostedTrees]:
+    """One boosted model per fold, stopped early on that fold; all of them share every pass."""
+    return boost(matrix, [Fit(params, trees, _others(cfg, k), (k,)) for k in range(cfg.folds)], cfg)
 
 
-def cross_validate_linear(rows: DataFrame, cfg: Settings) -> CrossValidation:
+def crossed(matrix: BinnedRows, models: Sequence[BoostedTrees], cfg: Settings) -> CrossValidation:
+    """Every row scored by the model that has not seen its fold."""
+    keep = [c for c in matrix.table.columns if c not in ("part", "row_hash", "bins")]
+    scores = materialize(scores_by_part(matrix, dict(enumerate(models)), keep), "held-out-scores")
+    spark = scores.sparkSession
+    splits = materialize(split_table(spark, models, feature_names(cfg)), "splits")
+    history = materialize(loss_history(spark, models), "history")
+    return CrossValidation(scores, [tree_count(m) for m in models], mean_over_models(splits), history, splits)
+
+
+def cross_validate_trees(rows: DataFrame | BinnedRows, cfg: Settings, params: TreeParams, trees: int) -> CrossValidation:
+    matrix = by_fold(rows, cfg)
+    return crossed(matrix, fold_models(matrix, cfg, params, trees), cfg)
+
+
+def cross_validate(rows: DataFrame, cfg: Settings, fit: Callable[[DataFrame, Settings], PipelineModel]) -> CrossValidation:
+    """One model per fold from the other folds' rows, scoring that fold."""
+
     def one(fold: int):
-        model = fit_linear(rows.filter(F.col("fold") != fold), cfg)
+        model = fit(rows.filter(F.col("fold") != fold), cfg)
         return score_rows(model, rows.filter(F.col("fold") == fold), cfg)
 
     parts = together(rows.sparkSession, [partial(one, k) for k in range(cfg.folds)], cfg)
     return CrossValidation(materialize(reduce(DataFrame.unionByName, parts), "held-out-scores"))
 
 
-def search_params(
-    rows: DataFrame, cfg: Settings, trees: int, trials: int | None = None, tuning_fold: int = 0
-) -> list[dict]:
-    """Random search on one fold: a record per trial, best AUC first, earlier trial on ties."""
-    held_out = F.col("fold") == tuning_fold
-    marked = rows.withColumn("held_out", held_out)
+def cross_validate_linear(rows: DataFrame, cfg: Settings) -> CrossValidation:
+    return cross_validate(rows, cfg, fit_linear)
+
+
+@dataclass
+class Search:
+    """A random search: a row per trial, the drawn parameters, and the held-out loss of every trial and round."""
+
+    table: DataFrame
+    params: list[TreeParams]
+    history: DataFrame
 
-    def one(number: int, params: TreeParams) -> dict:
-        model = fit_trees(marked, cfg, params, trees, "held_out")
-        scored = materialize(score_rows(model, rows.filter(held_out), cfg), "trial-scores")
-        area = metric_values(scored)["auc"]
-        return {"trial": number, "auc": area, "best_trees": tree_count(model), "params": params}
+    def best(self) -> dict:
+        """The row of the highest AUC, the earlier trial on ties."""
+        return best_trial(self.table).first().asDict()
 
+
+TRIAL_COLUMNS = (
+    "trial int, best_trees int, leaves int, max_depth int, min_instances int, step_size double, subsampling double, "
+    "feature_share double, l1 double, l2 double"
+)
+
+
+def trial_models(
+    matrix: BinnedRows, cfg: Settings, trees: int, trials: int | None = None, tuning_fold: int = 0
+) -> list[BoostedTrees]:
+    """A model per drawn set of parameters, all learning on the same matrix of bins in the same passes."""
     drawn = draw_params(cfg, trials or cfg.search_trials)
-    records = together(rows.sparkSession, [partial(one, i, p) for i, p in enumerate(drawn)], cfg)
+    return boost(matrix, [Fit(p, trees, _others(cfg, tuning_fold), (tuning_fold,)) for p in drawn], cfg)
+
+
+def judged(matrix: BinnedRows, models: Sequence[BoostedTrees], tuning_fold: int = 0) -> Search:
+    """The area of every trial on the tuning fold, from one pass over its rows."""
+    spark = matrix.table.sparkSession
+    scored = scores_of_all(matrix, models, tuning_fold, ["label"])
+    counts = scored.groupBy(F.col("trial").alias("slice"), "score").agg(
+        F.sum("label").cast("bigint").alias("pos"), F.sum(1 - F.col("label")).cast("bigint").alias("neg"))
+    areas = auc_from_counts(counts).select(F.col("slice").alias("trial"), "auc")
+    names = [part.split()[0] for part in TRIAL_COLUMNS.split(", ")][2:]
+    listed = [(k, tree_count(m), *[getattr(m.params, n) for n in names]) for k, m in enumerate(models)]
+    table = spark.createDataFrame(listed, TRIAL_COLUMNS).join(areas, "trial", "left")
+    history = materialize(loss_history(spark, models), "history")
+    return Search(materialize(table, "trials"), [m.params for m in models], history)
+
+
+def run_search(rows: DataFrame | BinnedRows, cfg: Settings, trees: int, trials: int | None = None, tuning_fold: int = 0) -> Search:
+    """Random search on one fold."""
+    matrix = by_fold(rows, cfg)
+    return judged(matrix, trial_models(matrix, cfg, trees, trials, tuning_fold), tuning_fold)
+
+
+def best_trial(trials: DataFrame) -> DataFrame:
+    """The row of the highest AUC, the earlier trial on ties; trials without an AUC come last."""
+    order = F.struct(F.coalesce("auc", F.lit(-1.0)), -F.col("trial"))
+    return trials.agg(F.max_by(F.struct(*trials.columns), order).alias("best")).select("best.*")
+
+
+def search_params(
+    rows: DataFrame | BinnedRows, cfg: Settings, trees: int, trials: int | None = None, tuning_fold: int = 0
+) -> list[dict]:
+    """A record per trial of ``run_search``, best AUC first, earlier trial on ties."""
+    search = run_search(rows, cfg, trees, trials, tuning_fold)
+    records = [r.asDict() | {"params": search.params[r["trial"]]} for r in search.table.collect()]
     return sorted(records, key=lambda r: (r["auc"] is None, -(r["auc"] or 0.0), r["trial"]))
 
 
@@ -340,7 +365,7 @@ COMPARISON_COLUMNS = (
 
 
 def compare_models(pool: DataFrame, validation: DataFrame, cfg: Settings, trees: int) -> DataFrame:
-    """Naive, logistic and boosted models: out-of-fold and validation metrics.
+    """Naive, logistic, boosted and bagged models: out-of-fold and validation metrics.
 
     Both frames carry the prior of the pool. The naive baseline's pool score is in-sample.
     """
@@ -373,20 +398,29 @@ def compare_models(pool: DataFrame, validation: DataFrame, cfg: Settings, trees:
     boosted = cross_validate_trees(rows, cfg, TreeParams(), trees)
     refit = fit_trees(pool, cfg, TreeParams(), boosted.mean_trees)
     record("boosted", started, boosted.scores, score_rows(refit, validation, cfg))
+    started = time.monotonic()
+    bagged = cross_validate(rows, cfg, fit_forest)
+    record("bagged", started, bagged.scores, score_rows(fit_forest(pool, cfg), validation, cfg))
     return comparison_table(pool.sparkSession, records, COMPARISON_COLUMNS).orderBy(F.desc("val_auc"))
 
 
 def sampling_experiment(pool: DataFrame, validation: DataFrame, cfg: Settings, trees: int | None = None) -> DataFrame:
-    """Full pool against buyers-only rows, boosted and logistic, on the same validation rows."""
+    """Full pool against buyers-only rows, boosted and logistic, on the same validation rows.
+
+    Both boosted fits share their passes: the rows of buyers are one part of the matrix, the others another.
+    """
     subsets = {"train_pool": pool, "train_purchaser": materialize(positive_users_rows(pool), "buyers-only")}
-    fitters = {
-        "boosted": lambda rows: fit_trees(rows, cfg, TreeParams(), trees or cfg.experiment_trees),
-        "logistic": lambda rows: fit_linear(rows, cfg),
-    }
-
-    def one(subset: str, name: str) -> dict:
-        model = fitters[name](subsets[subset])
-        values = metric_values(materialize(score_rows(model, validation, cfg), "val-scores"))
+    buyers = subsets["train_purchaser"].select(USER_KEY).distinct().withColumn("bought", F.lit(1))
+    marked = pool.join(buyers, USER_KEY, "left")
+    matrix = binned(marked, cfg, [], F.coalesce("bought", F.lit(0)))
+    most = trees or cfg.experiment_trees
+    boosted = boost(matrix, [Fit(TreeParams(), most, (0, 1)), Fit(TreeParams(), most, (1,))], cfg)
+    models = {("boosted", s): m for s, m in zip(subsets, boosted)}
+    linear = together(pool.sparkSession, [partial(fit_linear, rows, cfg) for rows in subsets.values()], cfg)
+    models |= {("logistic", s): m for s, m in zip(subsets, linear)}
+
+    def one(name: str, subset: str) -> dict:
+        values = metric_values(materialize(score_rows(models[name, subset], validation, cfg), "val-scores"))
         return {
             "model": name,
             "scaffold": subset,
@@ -395,41 +429,6 @@ def sampling_experiment(pool: DataFrame, validation: DataFrame, cfg: Settings, t
             "val_mean_prob": values["mean_prob"],
         }
 
-    jobs = [partial(one, subset, name) for subset in subsets for name in fitters]
-    records = together(pool.sparkSession, jobs, cfg)
+    records = together(pool.sparkSession, [partial(one, *key) for key in models], cfg)
     columns = "model string, scaffold string, val_auc double, val_log_loss double, val_mean_prob double"
     return comparison_table(pool.sparkSession, records, columns)
-
-
-# --- calibration ------------------------------------------------------------------------------------
-
-
-def fit_calibrator(scored: DataFrame, score: str = "score") -> IsotonicRegressionModel:
-    """Isotonic regression of label on score.
-
-    Rows are first reduced to one weighted point per distinct score, so tied scores (all users
-    without history share a few) cost one point each.
-    """
-    points = scored.groupBy(F.col(score).alias("score")).agg(
-        F.avg("label").alias("rate"), F.count("*").cast("double").alias("weight")
-    )
-    model = IsotonicRegression(featuresCol="score", labelCol="rate", weightCol="weight", isotonic=True)
-    return model.fit(points)
-
-
-def calibrate(model: IsotonicRegressionModel, scored: DataFrame, score: str = "score") -> DataFrame:
-    """Adds ``calibrated``; scores outside the fitted range get the nearest fitted value."""
-    given = scored.withColumnRenamed(score, "score") if score != "score" else scored
-    fitted = model.setFeaturesCol("score").setPredictionCol("calibrated").transform(given)
-    return fitted.withColumnRenamed("score", score) if score != "score" else fitted
-
-
-def calibration_report(scored: DataFrame) -> DataFrame:
-    """Log loss and mean probability before and after calibration, with the true rate."""
-    return scored.agg(
-        log_loss_of("score").alias("log_loss_before"),
-        log_loss_of("calibrated").alias("log_loss_after"),
-        F.avg("score").alias("mean_prob_before"),
-        F.avg("calibrated").alias("mean_prob_after"),
-        F.avg("label").alias("true_rate"),
-    )

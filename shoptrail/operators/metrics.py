@@ -100,27 +100,33 @@ def top_k_recall(
 ) -> DataFrame:
     """Share of positives among the best ``max(1, floor(n * share))`` rows, per slice and share.
 
-    The grid has ``len(shares)`` rows per slice, and slices are the predicted categories plus
-    one. It is broadcast after its size has been checked, so the ordered rows are not shuffled
-    again; otherwise Spark joins by shuffling. ``scored`` should be materialized.
+    Totals per slice and score give every cut between two scores. Only the rows that share a score with a cut through it are
+    put in order (ties by user, then category): at most ``len(shares)`` scores a slice. ``scored`` should be materialized.
     """
-    ordered = positives_in_order(scored, score)
-    sizes = materialize(
-        with_overall(scored)
-        .groupBy("slice")
-        .agg(F.count("*").alias("n"), F.sum("label").alias("positives")),
-        "slice-sizes",
-    )
-    grid = sizes.withColumn("share", F.explode(F.array(*[F.lit(float(s)) for s in shares])))
-    grid = grid.withColumn("k", F.greatest(F.lit(1), F.floor(F.col("n") * F.col("share"))).cast("bigint"))
-    reached = ordered.select("slice", F.col("position").alias("k"), F.col("label_upto").alias("captured"))
+    counts = score_counts(scored, score).withColumn("n", F.col("pos") + F.col("neg"))
+    placed = materialize(running_totals(counts, ["slice"], [F.desc("score")], ["n", "pos"]), "score-places")
+    sizes = materialize(placed.groupBy("slice").agg(F.sum("n").alias("rows"), F.sum("pos").alias("positives")), "slice-sizes")
+    cut = [F.struct(F.lit(float(s)).alias("share"),
+                    F.greatest(F.lit(1), F.floor(F.col("rows") * float(s))).cast("bigint").alias("k")) for s in shares]
+    grid = sizes.select("slice", "positives", F.array(*cut).alias("cuts"))
+    few = fits(sizes, MOST_BROADCAST_SLICES)
+    before = F.col("n_upto") - F.col("n")
+    inside = F.filter("cuts", lambda c: (c["k"] > before) & (c["k"] <= F.col("n_upto")))
+    hits = materialize(
+        placed.join(F.broadcast(grid) if few else grid, "slice").withColumn("cut", F.explode(inside)).select(
+            "slice", "score", "cut.share", "cut.k", "positives", (F.col("cut.k") - before).alias("position"),
+            (F.col("n_upto") == F.col("cut.k")).alias("whole"), "pos", (F.col("pos_upto") - F.col("pos")).alias("pos_before")), "cuts")
+    tied = hits.filter("not whole").select("slice", "score").distinct()
+    rows = with_overall(scored.select(USER_KEY, CATEGORY, "label", F.col(score).alias("score")))
+    rows = rows.join(F.broadcast(tied) if few else tied, ["slice", "score"], "left_semi")
+    ordered = running_totals(rows, ["slice", "score"], [F.asc(USER_KEY), F.asc(CATEGORY)], ["label"])
+    reached = ordered.select("slice", "score", "position", F.col("label_upto").alias("inside"))
+    found = hits.filter("whole").select("slice", "share", "k", "positives", (F.col("pos_before") + F.col("pos")).alias("captured"))
+    cuts = hits.filter("not whole")
+    part = reached.join(F.broadcast(cuts) if few else cuts, ["slice", "score", "position"])
+    found = found.union(part.select("slice", "share", "k", "positives", F.col("pos_before") + F.col("inside")))
     recall = F.coalesce(F.try_divide(F.col("captured"), F.col("positives")), F.lit(0.0))
-    if fits(sizes, MOST_BROADCAST_SLICES):
-        grid = F.broadcast(grid)
-    return (
-        reached.join(grid, ["slice", "k"])
-        .select("slice", "share", "k", recall.cast("double").alias("recall"))
-    )
+    return found.select("slice", "share", "k", recall.cast("double").alias("recall"))
 
 
 def captured_at(scored: DataFrame, share_index: int = 19, score: str = "score") -> DataFrame:

@@ -157,6 +157,20 @@ def category_support(labelled: DataFrame, min_positives: int) -> DataFrame:
     return positive_rate_by_category(labelled).filter(F.col("positives") >= min_positives)
 
 
+def support_of_users(users: DataFrame, pairs: DataFrame, names: DataFrame, min_positives: int) -> DataFrame:
+    """``category_support`` of every user with every category, without making these rows.
+
+    A category has as many rows as there are users, and as many positives as these users have label pairs in it.
+    """
+    people = materialize(users.select(USER_KEY).distinct(), "support-users")
+    positives = pairs.join(people, USER_KEY, "left_semi").groupBy(CATEGORY).agg(F.count("*").alias("found"))
+    rows = F.lit(people.count()).cast("bigint")
+    counted = names.select(CATEGORY).filter(F.col(CATEGORY).isNotNull()).distinct().join(positives, CATEGORY, "left").select(
+        CATEGORY, rows.alias("scaffold_rows"), F.coalesce("found", F.lit(0)).alias("positives"))
+    rate = F.round(F.try_divide(F.col("positives"), F.col("scaffold_rows")) * 100, 2)
+    return counted.withColumn("positive_rate_pct", rate).filter(F.col("positives") >= min_positives)
+
+
 def split_summary(rows: DataFrame, split: str = "split") -> DataFrame:
     """Rows, users and positive rate per split."""
     return rows.groupBy(split).agg(

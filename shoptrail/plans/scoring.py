@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shoptrail.config import CATEGORY, PRIOR, Settings
 from shoptrail.functions.columns import cart_view_ratio
+from shoptrail.operators.boosting import BoostedTrees
 from shoptrail.operators.learning import attach_prior, score_rows
 
 
@@ -51,7 +52,7 @@ def request_features(
 
 
 def score_requests(
-    model: PipelineModel, requests: DataFrame, prior: DataFrame, cfg: Settings, null_ratio_when_empty: bool = False
+    model: PipelineModel | BoostedTrees, requests: DataFrame, prior: DataFrame, cfg: Settings, null_ratio_when_empty: bool = False
 ) -> DataFrame:
     """record_id, category, score with six decimals; one row per accepted request, unordered."""
     features = request_features(requests, prior, cfg, null_ratio_when_empty)
@@ -60,7 +61,7 @@ def score_requests(
 
 
 def score_batch(
-    model: PipelineModel, requests: DataFrame, prior: DataFrame, cfg: Settings, null_ratio_when_empty: bool = False
+    model: PipelineModel | BoostedTrees, requests: DataFrame, prior: DataFrame, cfg: Settings, null_ratio_when_empty: bool = False
 ) -> DataFrame:
     """The response table, best score first. Equal scores keep the order of the requests, taken
     from ``request_no`` (added from the input order where absent).

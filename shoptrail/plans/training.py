@@ -4,20 +4,21 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoptrail.config import USER_KEY, Settings
+from shoptrail.operators.boosting import BoostedTrees, TreeParams
 from shoptrail.operators.learning import (
-    TreeParams,
+    Search,
     attach_prior,
+    by_fold,
     category_prior,
     cross_validate_trees,
     fit_trees,
     folded,
+    run_search,
     score_rows,
-    search_params,
 )
 from shoptrail.operators.metrics import cold_start_report, metric_values
 from shoptrail.operators.population import validation_cut
@@ -25,6 +26,7 @@ from shoptrail.session import materialize
 
 RECORD_COLUMNS = (
     "trees int, max_depth int, min_instances int, step_size double, subsampling double, feature_share double, "
+    "leaves int, l1 double, l2 double, "
     "oof_auc double, oof_log_loss double, val_auc double, val_log_loss double, val_mean_prob double, "
     "test_auc double, test_log_loss double, test_mean_prob double, val_cold_auc double, val_cold_user_share double"
 )
@@ -32,14 +34,16 @@ RECORD_COLUMNS = (
 
 @dataclass
 class TrainingRun:
-    """What a training run leaves behind."""
+    """What a training run leaves behind; ``history`` has the held-out loss of every fold and round."""
 
-    model: PipelineModel
+    model: BoostedTrees
     prior: DataFrame
     validation: DataFrame
     predictions: DataFrame
     importance: DataFrame
     record: DataFrame
+    search: Search
+    history: DataFrame
 
 
 def pool_and_validation(train: DataFrame, cfg: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -61,8 +65,10 @@ def train_model(
     trees = trees or cfg.max_trees
     pool, validation, prior = pool_and_validation(train, cfg)
     rows = folded(pool, cfg)
-    params: TreeParams = search_params(rows, cfg, trees, trials)[0]["params"]
-    crossed = cross_validate_trees(rows, cfg, params, trees)
+    matrix = by_fold(rows, cfg)  # one matrix of bins for all trials and folds
+    search = run_search(matrix, cfg, trees, trials)
+    params: TreeParams = search.params[search.best()["trial"]]
+    crossed = cross_validate_trees(matrix, cfg, params, trees)
     held_out = metric_values(crossed.reported())
 
     count = crossed.mean_trees
@@ -85,7 +91,7 @@ def train_model(
     )
     record = train.sparkSession.createDataFrame([tuple(values)], RECORD_COLUMNS)
     predictions = scored_test.select(USER_KEY, "category_l1", F.col("score").alias("propensity_score"))
-    return TrainingRun(final, prior, scored_validation, predictions, crossed.importance, record)
+    return TrainingRun(final, prior, scored_validation, predictions, crossed.importance, record, search, crossed.history)
 
 
 def _round(value: float | None) -> float | None:

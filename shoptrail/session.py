@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,9 +64,28 @@ def work_dir(spark: SparkSession) -> str:
     return shared.rstrip("/")
 
 
+_SCOPES: list[list[str]] = []
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{work_dir(spark)}/shoptrail/{label}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark)}/shoptrail/{label}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the tables that were materialized inside it; their readers must be done by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        jvm = spark.sparkContext._jvm
+        for path in _SCOPES.pop():
+            name = jvm.org.apache.hadoop.fs.Path(path)
+            name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(name, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from shoptrail.config import Settings
+from shoptrail.operators.boosting import BoostedTrees
 from shoptrail.plans.scoring import score_requests
 from shoptrail.schemas import request_schema
 
@@ -20,7 +21,7 @@ def request_stream(spark: SparkSession, folder: str, cfg: Settings) -> DataFrame
     return spark.readStream.schema(request_schema(cfg)).json(folder)
 
 
-def score_stream(model: PipelineModel, requests: DataFrame, prior: DataFrame, cfg: Settings) -> DataFrame:
+def score_stream(model: PipelineModel | BoostedTrees, requests: DataFrame, prior: DataFrame, cfg: Settings) -> DataFrame:
     scored = score_requests(model, requests, prior, cfg)
     return scored.select("record_id", "category_l1", "propensity_score")
 

@@ -153,7 +153,8 @@ def test_isotonic_calibration(parts):
 def test_comparison_and_sampling_tables(parts):
     pool, validation, _ = parts
     table = {r.model: r for r in L.compare_models(pool, validation, CFG, 3).collect()}
-    assert set(table) == {"naive", "logistic", "boosted"}
+    assert set(table) == {"naive", "logistic", "boosted", "bagged"}
+    assert table["bagged"].val_auc > table["naive"].val_auc
     assert table["boosted"].val_auc > table["naive"].val_auc
     cases = {(r.model, r.scaffold): r for r in L.sampling_experiment(pool, validation, CFG, 3).collect()}
     assert len(cases) == 4
