@@ -6,6 +6,7 @@ below works on that buffer with numpy, a slab of bounded size at a time.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -166,5 +167,14 @@ def chain(hashes: np.ndarray, order: int) -> np.ndarray:
     return total
 
 
+def release() -> None:
+    """Gives freed memory back to the system: Python workers are reused, and the next stage needs it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only one C library has it
+        pass
+
+
 def table_of(schema: pa.Schema, **columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
-from shoptrail.llm.common import Hasher, chain, flat, lower_ascii, mix, prepare, slabs, whole_texts, word_spans
+from shoptrail.llm.common import Hasher, chain, flat, lower_ascii, mix, prepare, release, slabs, whole_texts, word_spans
 from shoptrail.llm.components import components
 from shoptrail.session import fits, materialize
 
@@ -31,7 +31,7 @@ class JoinSettings:
     rows: int = 5
     # A block of texts that are compared with each other at once: bytes of their windows, and texts.
     block_bytes: int = 4 << 20
-    block_texts: int = 2048
+    block_texts: int = 1024
     # A bucket or copied text with more than this share of all rows is joined by a broadcast.
     hot_share: int = 1000
 
@@ -219,13 +219,12 @@ def _forest(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tupl
     """(node, least node) of what the links connect: a star per connected group of the block pair."""
     names, number = np.unique(np.concatenate([left, right]), return_inverse=True)
     rows, columns = number[: len(left)], number[len(left) :]
-    least = np.arange(len(names))
-    a, b = np.nonzero(links)
-    a, b = rows[a], columns[b]
+    least = np.arange(len(names), dtype=np.int32)
+    far = np.int32(len(names))
     while True:  # labels fall to the least of their neighbours, then to their label's label
         new = least.copy()
-        np.minimum.at(new, a, least[b])
-        np.minimum.at(new, b, least[a])
+        np.minimum.at(new, rows, np.where(links, least[columns][None, :], far).min(axis=1))
+        np.minimum.at(new, columns, np.where(links, least[rows][:, None], far).min(axis=0))
         new = new[new]
         if (new == least).all():
             break
@@ -273,6 +272,8 @@ def verify(sets: DataFrame, cfg: JoinSettings) -> DataFrame:
             stars = []
         rows = [(n, None, c) for nodes, counts in parts for n, c in zip(nodes.tolist(), counts.tolist()) if c]
         rows += [(a, b, whole) for a, b in stars]
+        del sets, parts
+        release()
         return pa.Table.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
 
     return rows.groupBy("component", "low", "high").applyInArrow(run, "a bigint, b bigint, links bigint")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from shoptrail.llm.common import SLAB_BYTES, Hasher, flat, prepare, slabs, text_bytes, unpacked, whole_texts, with_rest
+from shoptrail.llm.common import SLAB_BYTES, Hasher, flat, prepare, release, slabs, text_bytes, unpacked, whole_texts, with_rest
 
 WIDTH, GRAM = 50, 32
 BATCH_BYTES, SHARD_BYTES, BUCKET_BYTES, SAMPLE_BYTES = 8 << 20, 24 << 20, 8 << 20, 4 << 20
@@ -258,6 +258,8 @@ def answer_buckets(table: pa.Table) -> pa.Table:
     masks = np.zeros(len(sizes), np.uint32)
     np.bitwise_or.at(masks, owner[hit], np.uint32(1) << inside[hit].astype(np.uint32))
     parts = np.split(masks, np.cumsum(counts)[:-1])
+    del data, owner, inside, starts, group, hit
+    release()
     return _rows(_REQUEST, [(t, b, x.tobytes()) for t, b, x in zip(target, batches, parts)])
 
 
