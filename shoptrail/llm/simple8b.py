@@ -278,14 +278,15 @@ def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int) -> DataFrame:
     """Write the token ids of ``docs`` into files under ``folder``, which all executors share.
 
-    Documents are range partitioned and sorted by doc_id (null first; rows with one id by text); a task writes
+    Documents are range partitioned and sorted by doc_id (null first; rows with one id, however many, by a hash); a task writes
     one file of sections. The returned manifest has a row per section; files of lost or repeated attempts
     have names that it does not list. A null text is encoded as the empty text.
     """
     prepare(docs.sparkSession)
     rows = whole_texts(docs)
     parts = max(1, -(-text_bytes(rows) // FILE_BYTES))
-    ordered = rows.repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    rows = rows.withColumns({"hash": F.xxhash64("text"), "row": F.monotonically_increasing_id()})
+    ordered = rows.repartitionByRange(parts, "doc_id", "hash", "row").sortWithinPartitions("doc_id", "hash", "row").drop("hash", "row")
     end = np.array([end_id], np.uint32).tobytes()
     schema = pa.schema([("part", pa.int32()), ("section", pa.int32()), ("file", pa.string()), ("place", pa.int64()),
                         ("size", pa.int64()), ("documents", pa.int64()), ("ids", pa.int64())])
@@ -334,10 +335,15 @@ def write_ids(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int) ->
 def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
     """Per document: doc_id, start, n_tokens and the unsigned crc32 of its ids as little-endian 32-bit numbers.
 
-    Only the section totals (a row per million ids) are summed in order; the ids stay in the tasks.
+    Only totals are summed in order: those of the files, and within each file those of its sections. There are as many
+    reading tasks as files.
     """
-    before = F.sum("ids").over(Window.orderBy("part", "section").rowsBetween(Window.unboundedPreceding, -1))
-    placed = manifest.withColumn("before", F.coalesce(before, F.lit(0)))
+    totals = manifest.groupBy("part").agg(F.sum("ids").alias("whole"))
+    earlier = F.sum("whole").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
+    inside = F.sum("ids").over(Window.partitionBy("part").orderBy("section").rowsBetween(Window.unboundedPreceding, -1))
+    placed = manifest.join(totals.select("part", F.coalesce(earlier, F.lit(0)).alias("files_before")), "part")
+    placed = placed.withColumn("before", F.col("files_before") + F.coalesce(inside, F.lit(0))).drop("files_before")
+    files = (manifest.agg(F.max("part")).first()[0] or 0) + 1
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, base = _filesystem(folder)
@@ -354,7 +360,7 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                     pa.array([zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(starts, ends)], pa.int64()),
                 ], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    spread = placed.repartition("part", "section")
+    spread = placed.repartitionByRange(files, "part", "section")
     return spread.mapInArrow(read, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
