@@ -1,9 +1,10 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-Four small transducers read the symbols of a clause: insults and threats (with the weight of the word), targets,
-negation and reported speech. Their composition is one machine whose states are tuples of their states; a
-path emits the weight of each hostile word, raised when a target is near, lowered under negation
-or in reported speech. A document's score is a logistic function of what its matched clauses emit.
+Five small transducers read the symbols of a clause: insults, threats, targets, negation and reported speech. Their composition is
+one machine whose states are tuples of their states. The insult machine emits the weight of a hostile word, more behind a target and its
+verb ("you are a ..."), least for a bare exclamation; the threat machine emits where intent, a verb of harm and a target
+follow each other, and nothing for such a verb alone. What is emitted is raised near a target and lowered under negation or in
+reported speech. A document's score is a logistic function of what its matched clauses emit.
 
 The hostile words are learned from labelled rows: words and word beginnings whose share among toxic documents is
 reliably higher than among others. The rows that serve for fitting are a bounded sample.
@@ -39,43 +40,65 @@ tú ti usted ustedes vosotros ellos ellas él""".split()
 NEGATIONS = "not no never nor neither none cannot nicht kein keine nie niemals ne pas jamais aucun sin nunca ni".split()
 REPORTS = """said says say told tells wrote writes claimed quoted called sagte sagt schrieb meinte
 dit écrit raconte dijo dice escribió contó""".split()
-THREATS = "kill hurt destroy punish shoot burn töten verletzen vernichten tuer blesser détruire matar herir destruir".split()
-THREAT_WEIGHT = 0.5
+COPULAS = "are is am be re bist seid ist sind es êtes est sont eres sois son".split()
+INTENTS = """will shall must should gonna going want ll werde werden soll sollte muss will vais va allons dois devrait voy va vamos debo
+debería""".split()
+HARMS = "kill hurt destroy punish shoot burn töten verletzen vernichten tuer blesser détruire matar herir destruir".split()
+THREAT_WEIGHT = 3.0
 
-OTHER, TARGET, NEGATION, REPORT, QUOTE, HOSTILE = range(6)
+OTHER, TARGET, NEGATION, REPORT, QUOTE, HOSTILE, COPULA, INTENT, HARM = SYMBOLS = range(9)
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """States from 0; ``moves[state][symbol]`` is the next state, ``gain[state]`` the factor on a hostile word."""
+    """States from 0; ``moves[state][symbol]`` is the next state.
+
+    ``gain[state]`` is the factor on whatever is emitted on the way out of a state, ``adds[state]`` what the state adds itself on
+    reading a target.
+    """
 
     moves: tuple[tuple[int, ...], ...]
     gain: tuple[float, ...]
+    adds: tuple[float, ...]
 
 
 def _window(symbol: int, length: int, gain: float) -> Transducer:
     """Active for ``length`` symbols after ``symbol``."""
     moves = []
     for state in range(length + 1):
-        row = [max(state - 1, 0)] * 6
+        row = [max(state - 1, 0)] * len(SYMBOLS)
         row[symbol] = length
         moves.append(tuple(row))
-    return Transducer(tuple(moves), tuple(gain if s else 1.0 for s in range(length + 1)))
+    return Transducer(tuple(moves), tuple(gain if s else 1.0 for s in range(length + 1)), (0.0,) * (length + 1))
+
+
+def _moves(*rows: dict[int, int]) -> tuple[tuple[int, ...], ...]:
+    """A row per state; the key None is the state for all symbols that the row does not name."""
+    return tuple(tuple(row.get(s, row[None]) for s in SYMBOLS) for row in rows)
 
 
 TARGETED = _window(TARGET, 4, 1.5)
 NEGATED = _window(NEGATION, 3, 0.4)
 # Once a verb of saying was read, the rest of the clause is reported; a quotation mark toggles it as well.
-REPORTED = Transducer(((0, 0, 0, 1, 1, 0), (1, 1, 1, 1, 0, 1)), (1.0, 0.6))
+REPORTED = Transducer(_moves({None: 0, REPORT: 1, QUOTE: 1}, {None: 1, QUOTE: 0}), (1.0, 0.6), (0.0, 0.0))
+# 0: nothing yet, a hostile word is a bare exclamation; 1: a target, "you ..."; 2 and 3: target and copula, with room for an article.
+INSULT = Transducer(
+    _moves({None: 0, TARGET: 1}, {None: 0, TARGET: 1, COPULA: 2}, {None: 3, TARGET: 1, COPULA: 2}, {None: 0, TARGET: 1}),
+    (1.0, 1.2, 1.5, 1.5), (0.0,) * 4)
+# 1 to 3: intent, and two words of room; 4 and 5: a verb of harm under intent, waiting for its target.
+THREAT = Transducer(
+    _moves({None: 0, INTENT: 1}, {None: 2, INTENT: 1, HARM: 4}, {None: 3, INTENT: 1, HARM: 4}, {None: 0, INTENT: 1, HARM: 4},
+           {None: 5, INTENT: 1, HARM: 4, TARGET: 0}, {None: 0, INTENT: 1, HARM: 4}),
+    (1.0,) * 6, (0.0, 0.0, 0.0, 0.0, THREAT_WEIGHT, THREAT_WEIGHT))
 
 
 def compose(*machines: Transducer) -> Transducer:
-    """One machine whose states are the reachable tuples of states; factors multiply."""
+    """One machine whose states are the reachable tuples of states; factors multiply, what states add is summed."""
     start = (0,) * len(machines)
     number, queue, moves = {start: 0}, [start], []
     for state in queue:
         row = []
-        for symbol in range(6):
+        for symbol in SYMBOLS:
             to = tuple(m.moves[s][symbol] for m, s in zip(machines, state))
             if to not in number:
                 number[to] = len(number)
@@ -83,11 +106,13 @@ def compose(*machines: Transducer) -> Transducer:
             row.append(number[to])
         moves.append(tuple(row))
     gains = tuple(math.prod(m.gain[s] for m, s in zip(machines, state)) for state in queue)
-    return Transducer(tuple(moves), gains)
+    adds = tuple(sum(m.adds[s] for m, s in zip(machines, state)) for state in queue)
+    return Transducer(tuple(moves), gains, adds)
 
 
-GRAMMAR = compose(TARGETED, NEGATED, REPORTED)
-_CLASSES = {w: k for words, k in ((TARGETS, TARGET), (NEGATIONS, NEGATION), (REPORTS, REPORT)) for w in words}
+GRAMMAR = compose(INSULT, THREAT, TARGETED, NEGATED, REPORTED)
+_CLASSES = {w: k for words, k in ((HARMS, HARM), (INTENTS, INTENT), (COPULAS, COPULA), (REPORTS, REPORT), (NEGATIONS, NEGATION),
+                                  (TARGETS, TARGET)) for w in words}
 _CLASSES |= {q: QUOTE for q in "\"“”«»"}
 
 
@@ -116,22 +141,22 @@ class ToxicModel:
                 total += weight * GRAMMAR.gain[state]
                 state = GRAMMAR.moves[state][HOSTILE]
             else:
-                state = GRAMMAR.moves[state][_CLASSES.get(word, OTHER)]
+                symbol = _CLASSES.get(word, OTHER)
+                if symbol == TARGET:
+                    total += GRAMMAR.adds[state] * GRAMMAR.gain[state]
+                state = GRAMMAR.moves[state][symbol]
         return total
 
     def suspects(self, text: str) -> list[int]:
-        """Places where the letters of an entry begin a word."""
+        """Places where the letters of an entry or of a verb of harm begin a word."""
         if self._machine is None:
             import ahocorasick
 
             self._machine = ahocorasick.Automaton()
-            for entry in self.entries:
+            for entry in [*self.entries, *HARMS]:
                 stem = entry.rstrip("*")
                 self._machine.add_word(stem, len(stem))
-            if self.entries:
-                self._machine.make_automaton()
-        if not self.entries:
-            return []
+            self._machine.make_automaton()
         starts = (end - n + 1 for end, n in self._machine.iter(text))
         return [k for k in starts if k == 0 or not text[k - 1].isalpha()]
 
@@ -202,7 +227,7 @@ def learn_entries(rows: DataFrame) -> dict[str, float]:
     )
     entries = {r["term"]: round(r["odds"], 6) for r in found.select("term", "odds").collect()
                if r["term"] not in _CLASSES}
-    return entries | {w: THREAT_WEIGHT for w in THREATS if w not in entries}
+    return entries
 
 
 def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05) -> list[float]:

@@ -487,3 +487,81 @@ def test_lstm_gradient():
         down = loss()
         flat[k] = keep
         assert math.isclose((up - down) / 2e-2, grads[name].reshape(-1)[k], rel_tol=0.05, abs_tol=1e-4), name
+
+
+def test_grammar_composes_insults_and_threats():
+    model = toxicity.ToxicModel({"snorfle": 2.0})
+    bare, said = model.clause(["snorfle"]), model.clause("i say snorfle".split())
+    assert bare == 2.0 and said <= bare
+    assert model.clause("you snorfle".split()) > bare
+    assert model.clause("you are a snorfle".split()) > model.clause("you snorfle".split())
+    threat = model.clause("we will kill you".split())
+    assert threat > 0 and model.clause("i am going to hurt them all".split()) > 0
+    for harmless in ("they kill time", "will you come", "to kill a bird", "kill", "will it kill the lights", "you will go and they kill"):
+        assert model.clause(harmless.split()) == 0, harmless
+    assert model.clause("we will not kill you".split()) < threat
+    assert model.clause("she said we will kill you".split()) < threat * 1.5
+    assert model.features("We will kill you. Nothing else.")[0] > 0
+    machines = (toxicity.INSULT, toxicity.THREAT, toxicity.TARGETED, toxicity.NEGATED, toxicity.REPORTED)
+    draw = np.random.default_rng(2)
+    for _ in range(200):  # the composed machine walks as its parts do
+        states, at = [0] * 5, 0
+        for symbol in draw.integers(0, len(toxicity.SYMBOLS), 12):
+            assert toxicity.GRAMMAR.gain[at] == pytest.approx(math.prod(m.gain[s] for m, s in zip(machines, states)))
+            assert toxicity.GRAMMAR.adds[at] == sum(m.adds[s] for m, s in zip(machines, states))
+            states = [m.moves[s][symbol] for m, s in zip(machines, states)]
+            at = toxicity.GRAMMAR.moves[at][symbol]
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<p>a</p><svg/><p>rest</p>", ["a", "rest"]),
+    ("<iframe src=x/><p>rest</p>", ["rest"]),
+    ("<title/><p>rest</p>", ["rest"]),
+    ("<title>t</title><p>rest</p>", ["rest"]),
+    ("<select><option>one<option>two<p>rest</p>", ["rest"]),
+    ("<select><option>one<option>two</select><p>rest</p>", ["rest"]),
+    ("<p>a</p><textarea>typed<p>rest</p>", ["a", "rest"]),
+    ("<p title=it's>hello</p>", ["hello"]),
+    ("<p title=\"a>b\" class='c>d'>x</p>y", ["x", "y"]),
+    ("<head><p>rest</p>", ["rest"]),
+    ("<script>var a='<p>x</p>';</script><p>rest", ["rest"]),
+    ("<script>if (a < b) { x }<p>rest</p>", ["rest"]),
+    ("a < b &amp;&amp; c > d<!-- x", ["a < b && c > d"]),
+    ("<p" + " a='" * 5000, None),
+])
+def test_malformed_markup_keeps_the_text(page, want):
+    found = [b.text for b in html_blocks.blocks(page)]
+    assert want is None or found == want
+
+
+def test_pages_without_telling_names():
+    """Training hides the names in half of its copies: pages whose containers say nothing are read by place, words and links."""
+    import random
+    import re
+
+    from corpus import prose
+
+    draw = random.Random(8)
+
+    def page():
+        def links(n):
+            return "".join(f"<li><a href='/x'>{prose(draw, draw.randint(1, 3))}</a></li>" for _ in range(n))
+
+        body = [prose(draw, draw.randint(12, 60)) for _ in range(draw.randint(2, 9))]
+        text = f"<body><header><p>{prose(draw, 3)}</p></header><nav><ul>{links(draw.randint(3, 6))}</ul></nav>"
+        text += f"<article><h1>{prose(draw, 4)}</h1>" + "".join(f"<p>{b}</p>" for b in body) + "</article>"
+        return text + f"<aside><ul>{links(4)}</ul></aside><footer><p>&copy; {prose(draw, 5)}</p></footer></body>"
+
+    pages = [page() for _ in range(110)]
+    model = html_blocks.train(pages[:90])
+    right = wrong = missed = 0
+    for p in pages[90:]:
+        truth = [html_blocks.markup_label(b) for b in html_blocks.blocks(p)]
+        plain = re.sub(r"<(/?)(?:header|nav|article|aside|footer)>", r"<\1div>", p)
+        parsed = html_blocks.blocks(plain)
+        assert len(parsed) == len(truth)
+        keep = model.predict(*html_blocks.padded([html_blocks.vectors(parsed)]))[0] >= 0.5
+        right += sum(k and t for k, t in zip(keep, truth))
+        wrong += sum(k and not t for k, t in zip(keep, truth))
+        missed += sum(t and not k for k, t in zip(keep, truth))
+    assert right / (right + missed) >= 0.9 and right / (right + wrong) >= 0.9
