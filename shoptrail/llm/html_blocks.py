@@ -27,11 +27,14 @@ PATH_SIZE, WORD_SIZE, NUMBERS, HIDDEN = 256, 64, 6, 16
 SIZE = PATH_SIZE + WORD_SIZE + NUMBERS
 BATCH_BLOCKS = 4096
 
-TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)/?>|<[!?][^>]*>", re.S)
+# A quotation mark opens a value only behind an equals sign; elsewhere it is a character like any other.
+TAG = re.compile(
+    r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?>=\s*\"[^\"]*\"|=\s*'[^']*'|[^<>])*+)>|<[!?][^>]*>", re.S)
 ATTRIBUTE = re.compile(r"(?:class|id|role|aria-label)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 NAME = re.compile(r"[a-z]+")
 # Tags of the markup language by their role here.
 SKIPPED = frozenset("script style noscript template iframe svg canvas object head title textarea select option".split())
+CLOSING = {name: re.compile(rf"</{name}\s*>", re.I) for name in SKIPPED}
 INLINE = frozenset("""a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span
 strike strong sub sup time tt u var wbr br img""".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -84,11 +87,14 @@ def blocks(page: str) -> list[Block]:
         if not name:
             continue
         if name in SKIPPED and not m[1]:
-            end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
-            if end:
+            if m[3].endswith("/") or name == "head" and not CLOSING["head"].search(page, at):
+                continue  # an empty element, or a head whose end is left out
+            end = CLOSING[name].search(page, at)
+            if end and name != "option":
                 at = end.end()
-            elif name != "head":
-                at = len(page)
+            else:  # an option ends where anything else begins, and so does what is never closed
+                following = TAG.search(page, at)
+                at = following.start() if following else len(page)
             continue
         if name in INLINE:
             if name == "a":
@@ -239,9 +245,13 @@ def padded(pages: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def varied(page: list[Block], labels: list[int], other: list[Block], draw: np.random.Generator):
-    """A copy of a page with renamed containers and, here and there, a foreign block under a telling name."""
+    """A copy of a page with renamed containers and, here and there, a foreign block under a telling name.
+
+    In half of the copies nothing is named any more, so that place, words, links and the blocks around have to tell.
+    """
     names = {}
     rename = draw.random() < 0.5
+    nameless = draw.random() < 0.5
     main, aside = sorted(MAIN), sorted(ASIDE)
     out, marks = [], []
     for b, label in zip(page, labels):
@@ -251,11 +261,13 @@ def varied(page: list[Block], labels: list[int], other: list[Block], draw: np.ra
                 if w in MAIN or w in ASIDE:
                     pool = main if w in MAIN else aside
                     path[k] = names.setdefault(w, str(draw.choice(pool)))
-        if label and draw.random() < 0.15:
+        if nameless:
+            path = ["div" if w in MAIN or w in ASIDE else w for w in path]
+        elif label and draw.random() < 0.15:
             path = [*path[:-1], str(draw.choice(PARTS))]
         out.append(Block(path, b.text, b.link_share, b.hashed))
         marks.append(label)
-        if other and draw.random() < 0.15:
+        if other and not nameless and draw.random() < 0.15:
             guest = other[int(draw.integers(len(other)))]
             word = str(draw.choice(aside))
             base = path[:-1] if draw.random() < 0.5 else path[:2]
@@ -269,7 +281,7 @@ def varied(page: list[Block], labels: list[int], other: list[Block], draw: np.ra
 def train(pages: list[str], rounds: int = 200, seed: int = 5) -> BiLstm:
     """Fit on the given pages and their variants with Adam. No pages give an untrained model."""
     draw, model = np.random.default_rng(seed), BiLstm()
-    parsed = [p for p in (blocks(t)[:60] for t in pages) if p]
+    parsed = [p for p in (blocks(t) for t in pages) if p]
     if not parsed:
         return model
     marks = [[markup_label(b) for b in p] for p in parsed]
