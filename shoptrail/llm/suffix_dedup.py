@@ -23,6 +23,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -67,23 +68,29 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 class Batch:
-    """Documents of one batch in a fixed order, and their contexts."""
+    """Documents of one batch in a fixed order, and their contexts; ``wanted`` are contexts that are known already."""
 
-    def __init__(self, table: pa.Table):
+    def __init__(self, table: pa.Table, wanted: bytes | None = None):
         ids = table.column("doc_id").to_pylist()
         texts = table.column("text").to_pylist()
         order = sorted(range(len(ids)), key=lambda i: (ids[i] is None, ids[i] or 0, texts[i]))
         self.table = table.take(pa.array(order, pa.int64()))
         self.data, self.offsets = flat(self.table.column("text"))
         self.ids = np.array([LAST_ID if ids[i] is None else ids[i] for i in order], np.int64)
+        if wanted is None:
+            self._find()
+        else:
+            self.first, self.last, self.place = _unpacked_contexts(wanted)
+        doc = np.searchsorted(self.offsets, self.first, side="right") - 1
+        self.doc = self.ids[doc] if len(doc) else np.empty(0, np.int64)
+
+    def _find(self) -> None:
         found = []
         for a, b in slabs(self.table):
             lo, hi = self.offsets[a], self.offsets[b]
             first, last, place, hashes = anchors(self.data[lo:hi], self.offsets[a : b + 1] - lo)
             found.append((first + lo, last + lo, place + lo, hashes))
         self.first, self.last, self.place, self.hashes = (np.concatenate(x) for x in zip(*found))
-        doc = np.searchsorted(self.offsets, self.first, side="right") - 1
-        self.doc = self.ids[doc] if len(doc) else np.empty(0, np.int64)
 
     def keys(self, shards: int) -> np.ndarray:
         """Shard and 32 bits of every anchor's hash."""
@@ -98,6 +105,22 @@ class Batch:
         return out
 
 
+def _packed_contexts(batch: Batch, wanted: np.ndarray) -> bytes:
+    """First head, number of heads and anchor of the wanted contexts, a few bytes each."""
+    first, last, place = (x[wanted] for x in (batch.first, batch.last, batch.place))
+    steps = np.diff(first, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T
+    planes = [np.ascontiguousarray(steps), (last - first).astype(np.uint8), (place - first).astype(np.uint8)]
+    return len(first).to_bytes(8, "little") + zstandard.compress(b"".join(x.tobytes() for x in planes), 1)
+
+
+def _unpacked_contexts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(zstandard.decompress(data[8:], max_output_size=max(6 * n, 1)), np.uint8).reshape(6, n)
+    steps = np.ascontiguousarray(planes[:4].T).view("<u4").ravel()
+    first = np.cumsum(steps, dtype=np.int64)
+    return first, first + planes[4], first + planes[5]
+
+
 def eight_bytes(data: np.ndarray) -> np.ndarray:
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     out = np.zeros(len(data), np.uint64)
@@ -210,7 +233,7 @@ def _suspects(batch: Batch, answers: pa.Table, shards: int) -> np.ndarray:
 
 
 def ask_buckets(shards: int, splitters: np.ndarray) -> Callable:
-    """Contexts by bucket; the suspect bits go along under the negative batch number and come back unchanged."""
+    """Contexts by bucket; where they lie goes along under the negative batch number and comes back unchanged."""
 
     def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
@@ -218,7 +241,7 @@ def ask_buckets(shards: int, splitters: np.ndarray) -> Callable:
         batch, number = Batch(docs), key[0].as_py()
         wanted = _suspects(batch, answers, shards)
         mine, inverse, least = _contexts(batch, wanted)
-        rows = [(-1 - number, number, np.packbits(wanted).tobytes())]
+        rows = [(-1 - number, number, _packed_contexts(batch, wanted))]
         one = np.zeros(len(least), np.int64)
         one[inverse] = mine  # any context of the text
         bucket = np.searchsorted(splitters, batch.leads()[one], side="right")
@@ -263,15 +286,18 @@ def answer_buckets(table: pa.Table) -> pa.Table:
     return _rows(_REQUEST, [(t, b, x.tobytes()) for t, b, x in zip(target, batches, parts)])
 
 
+def _known(docs: pa.Table, answers: pa.Table) -> Batch:
+    """The batch with the contexts that its request told."""
+    wanted = [p for t, p in zip(answers.column("target").to_pylist(), answers.column("payload").to_pylist()) if t < 0]
+    return Batch(docs, wanted[0])
+
+
 def _covered(batch: Batch, answers: pa.Table, splitters: np.ndarray) -> np.ndarray:
     """Per byte of the batch whether it goes."""
     flags = np.zeros(len(batch.data) + 1, np.int32)
-    wanted, masks = np.zeros(len(batch.first), bool), {}
-    for t, bits in zip(answers.column("target").to_pylist(), answers.column("payload").to_pylist()):
-        if t < 0:
-            wanted = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(batch.first)) > 0
-        else:
-            masks[t] = np.frombuffer(bits, np.uint32)
+    told = zip(answers.column("target").to_pylist(), answers.column("payload").to_pylist())
+    masks = {t: np.frombuffer(bits, np.uint32) for t, bits in told if t >= 0}
+    wanted = np.ones(len(batch.first), bool)
     mine, inverse, least = _contexts(batch, wanted)
     one = np.zeros(len(least), np.int64)
     one[inverse] = mine
@@ -293,7 +319,7 @@ def mark(splitters: np.ndarray, keep: list[str], schema: pa.Schema) -> Callable:
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
-        batch = Batch(docs)
+        batch = _known(docs, answers)
         gone = _covered(batch, answers, splitters)
         turn = gone.copy()
         turn[1:] &= ~gone[:-1]
