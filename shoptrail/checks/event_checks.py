@@ -246,7 +246,9 @@ def p25(spark, folder):
 
 @check(
     "j1_view_users_semi",
-    "SELECT * FROM raw WHERE user_id IN (SELECT user_id FROM raw WHERE event_type = 'view')",
+    """
+SELECT * EXCLUDE (seen) FROM (SELECT *, bool_or(event_type = 'view') OVER (PARTITION BY user_id) AS seen FROM raw)
+WHERE seen AND user_id IS NOT NULL""",
     "raw",
 )
 def j1(spark, folder):
@@ -310,6 +312,10 @@ _FIRST = """
 SELECT {key}, category_code FROM (SELECT {key}, category_code, row_number() OVER (
   PARTITION BY {key} ORDER BY event_time, category_code) AS turn FROM raw WHERE category_code IS NOT NULL)
 WHERE turn = 1"""
+# The same code beside every row, from one reading of the log.
+_KNOWN = """
+SELECT *, first_value(category_code) OVER (PARTITION BY product_id ORDER BY category_code IS NULL, event_time, category_code
+ ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS known FROM raw"""
 _REPORT = """
 SELECT CAST(count(*) AS BIGINT) AS total_null, CAST(count(k.{key}) AS BIGINT) AS recoverable,
  CAST(count(*) - count(k.{key}) AS BIGINT) AS unrecoverable,
@@ -342,8 +348,8 @@ def a21_id(spark, folder):
 @check(
     "j6_recoverable_rows",
     f"""
-SELECT r.product_id, k.category_code FROM raw r JOIN ({_FIRST.format(key='product_id')}) k USING (product_id)
-WHERE r.event_type = 'purchase' AND r.category_code IS NULL""",
+SELECT product_id, known AS category_code FROM ({_KNOWN})
+WHERE event_type = 'purchase' AND category_code IS NULL AND known IS NOT NULL""",
     "raw",
 )
 def j6(spark, folder):
@@ -354,9 +360,7 @@ def j6(spark, folder):
 
 @check(
     "j2_unrecoverable_rows",
-    f"""
-SELECT product_id FROM raw WHERE event_type = 'purchase' AND category_code IS NULL
- AND product_id NOT IN (SELECT product_id FROM ({_FIRST.format(key='product_id')}))""",
+    f"SELECT product_id FROM ({_KNOWN}) WHERE event_type = 'purchase' AND category_code IS NULL AND known IS NULL",
     "raw",
 )
 def j2_lost(spark, folder):
@@ -367,9 +371,7 @@ def j2_lost(spark, folder):
 
 @check(
     "a21_backfill",
-    f"""
-SELECT r.* REPLACE (coalesce(r.category_code, k.category_code) AS category_code)
-FROM raw r LEFT JOIN ({_FIRST.format(key='product_id')}) k ON r.product_id = k.product_id""",
+    f"SELECT * EXCLUDE (known) REPLACE (coalesce(category_code, known) AS category_code) FROM ({_KNOWN})",
     "raw",
 )
 def a21_backfill(spark, folder):

@@ -1,8 +1,16 @@
-"""Model queries that run at the operators' own sizes."""
+"""Model queries at the operators' own sizes."""
 
 from __future__ import annotations
 
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
 from shoptrail.checks import model_checks as C
+from shoptrail.operators import boosting as B
+
+FOLDER = "/root/testdata/sf0.001"
 
 
 def test_boosted_trees_are_limited_by_the_settings_only(spark, monkeypatch):
@@ -14,3 +22,17 @@ def test_boosted_trees_are_limited_by_the_settings_only(spark, monkeypatch):
     monkeypatch.setattr(C.L, "score_rows", lambda model, rows, cfg: rows)
     C.l7(spark, "")
     assert asked == [(C.L.TreeParams(), C.CFG.max_trees, "held_out")]
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="given tables are absent")
+def test_boosted_trees_really_run_until_patience_ends_them(spark, monkeypatch):
+    """The registered query, with nothing replaced: every round is fitted, judged and kept or dropped."""
+    made, boost = [], B.boost
+    monkeypatch.setattr(C.L, "boost", lambda *args: made.extend(boost(*args)) or made)
+    scores = C.l7(spark, FOLDER)
+    model = made[0]
+    assert model.params == C.L.TreeParams() and C.CFG.patience == 50 and C.CFG.max_trees == 2000
+    assert len(model.losses) == B.best_round(model.losses, 50) + 50
+    assert len(model.trees) == max(1, B.best_round(model.losses, 50) - 1)
+    assert scores.filter("score between 0 and 1").count() == scores.count() > 0
+    assert scores.groupBy("user_id", "category_l1").count().filter(F.col("count") > 1).count() == 0
