@@ -376,7 +376,7 @@ def v8(spark, folder):
 def v11(spark, folder):
     matrix = _matrix(spark, folder)
     train, test = (matrix.filter(F.col("split") == s).drop("split") for s in ("train", "test"))
-    return train_model(train, test, CFG).record
+    return train_model(train, test, CFG, search=_search(spark, folder)).record
 
 
 # --- tables written and read back -------------------------------------------------------------------

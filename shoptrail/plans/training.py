@@ -59,14 +59,15 @@ def pool_and_validation(train: DataFrame, cfg: Settings) -> tuple[DataFrame, Dat
 
 
 def train_model(
-    train: DataFrame, test: DataFrame, cfg: Settings, trees: int | None = None, trials: int | None = None
+    train: DataFrame, test: DataFrame, cfg: Settings, trees: int | None = None, trials: int | None = None,
+    search: Search | None = None,
 ) -> TrainingRun:
-    """The full run. Test labels are read once, at the very end."""
+    """The full run. Test labels are read once, at the very end. A ``search`` over the same pool may be handed in."""
     trees = trees or cfg.max_trees
     pool, validation, prior = pool_and_validation(train, cfg)
     rows = folded(pool, cfg)
     matrix = by_fold(rows, cfg)  # one matrix of bins for all trials and folds
-    search = run_search(matrix, cfg, trees, trials)
+    search = search or run_search(matrix, cfg, trees, trials)
     params: TreeParams = search.params[search.best()["trial"]]
     crossed = cross_validate_trees(matrix, cfg, params, trees)
     held_out = metric_values(crossed.reported())
