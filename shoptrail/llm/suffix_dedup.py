@@ -185,7 +185,7 @@ _REQUEST_DDL = "target bigint, batch bigint, payload binary"
 
 
 def ask_shards(shards: int) -> Callable:
-    def run(key: tuple, table: pa.Table) -> pa.Table:
+    def ask(key: tuple, table: pa.Table) -> pa.Table:
         batch = Batch(table)
         keys, inverse = grouped(batch.keys(shards))
         low, high = np.full(len(keys), LAST_ID), np.full(len(keys), -1 - LAST_ID)
@@ -200,6 +200,11 @@ def ask_shards(shards: int) -> Callable:
             rows.append((int(s), key[0].as_py(), len(keys[part]).to_bytes(8, "little") + data))
         return _rows(_REQUEST, rows)
 
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        out = ask(key, table)
+        release()
+        return out
+
     return run
 
 
@@ -235,7 +240,7 @@ def _suspects(batch: Batch, answers: pa.Table, shards: int) -> np.ndarray:
 def ask_buckets(shards: int, splitters: np.ndarray) -> Callable:
     """Contexts by bucket; where they lie goes along under the negative batch number and comes back unchanged."""
 
-    def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def ask(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return _rows(_REQUEST, [])
         batch, number = Batch(docs), key[0].as_py()
@@ -253,6 +258,11 @@ def ask_buckets(shards: int, splitters: np.ndarray) -> Callable:
             rows.append((int(s), number, b"".join(x.tobytes() for x in data)))
         return _rows(_REQUEST, rows)
 
+    def run(key: tuple, docs: pa.Table, answers: pa.Table) -> pa.Table:
+        out = ask(key, docs, answers)
+        release()
+        return out
+
     return run
 
 
@@ -316,7 +326,7 @@ def _covered(batch: Batch, answers: pa.Table, splitters: np.ndarray) -> np.ndarr
 
 
 def mark(splitters: np.ndarray, keep: list[str], schema: pa.Schema) -> Callable:
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def cut(docs: pa.Table, answers: pa.Table) -> pa.Table:
         if not docs.num_rows:
             return schema.empty_table()
         batch = _known(docs, answers)
@@ -335,6 +345,11 @@ def mark(splitters: np.ndarray, keep: list[str], schema: pa.Schema) -> Callable:
         return pa.table([columns[f.name] if f.name in keep else pa.array(columns[f.name], f.type) for f in schema],
                         schema=schema)
 
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        out = cut(docs, answers)
+        release()
+        return out
+
     return run
 
 
