@@ -126,6 +126,31 @@ def test_held_out_loss_and_patience(matrix):
     assert log_loss(scored).first()[0] == pytest.approx(model.losses[best])
 
 
+def test_a_pass_counts_one_child_of_a_split_and_no_finished_trees(matrix, monkeypatch):
+    passes, one_pass = [], B._pass
+    monkeypatch.setattr(B, "_pass", lambda blocks, tasks, asked, *rest: passes.append(asked[0]) or one_pass(blocks, tasks, asked, *rest))
+    B.boost(matrix, [B.Fit(B.TreeParams(max_depth=4, min_instances=5), 12, (0, 1, 2))], CFG, store_every=5)
+    assert [len(a.counted) for a in passes[::4]] == [1] * 12
+    assert all(len(a.tree[0]) <= 15 for a in passes)  # the growing tree alone
+    for a in passes:
+        siblings = {node: pair for pair in zip(a.tree[2], a.tree[3]) for node in pair if any(pair)}
+        assert len({siblings.get(node) for node in a.counted}) == len(a.counted)
+
+
+def test_trees_do_not_depend_on_how_rows_are_dealt(matrix):
+    """Half of the features twice: alike cuts have the same gain, and the first one wins, however rows lie."""
+    def models(rows):
+        return [m.trees for m in B.boost(rows, [B.Fit(B.TreeParams(max_depth=4, min_instances=5), 5, (0, 1)), B.Fit(B.TreeParams(), 5, (1, 2))], CFG)]
+
+    codes = F.col("bins")
+    twice = matrix.table.withColumn("bins", F.concat(F.substring(codes, 1, 12), F.substring(codes, 1, 12), F.substring(codes, 25, 1)))
+    bins = B.Bins(matrix.bins.features, matrix.bins.edges[:12] * 2, matrix.bins.categories)
+    first = models(B.BinnedRows(materialize(twice, "twice"), bins))
+    again = models(B.BinnedRows(materialize(twice.repartition(7, "user_id"), "twice"), bins))
+    assert first == again
+    assert all(not 12 <= f < 24 for trees in first for t in trees for f in t.feature)
+
+
 def test_penalties_shrink_leaves(matrix):
     def largest(**penalty):
         model = B.boost(matrix, [B.Fit(B.TreeParams(max_depth=3, **penalty), 1, (0, 1, 2))], CFG)[0]
