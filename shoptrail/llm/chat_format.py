@@ -4,8 +4,9 @@ A template turns a list of (role, text) into one string. It is rendered for ever
 output only grows, the growth is the last turn's span, and two probes with one-character texts tell where in it the text
 lies. A template that changes what it has already written is found by the same comparison and reported.
 
-A conversation is rendered in one piece, up to ``long_turns`` turns. Longer ones are numbered by range-partitioned ranks and cut
-into blocks, each rendered behind a few turns before it, so no task and no rendering holds more than a block.
+A conversation is rendered in blocks of ``block`` turns, each behind a few turns before it, so no task and no rendering holds
+more than a block. Conversations of over ``long_turns`` turns, or over a block, are numbered by range-partitioned ranks; a shorter one
+is a single block without that. Which way it goes makes no difference to its rows.
 """
 
 from __future__ import annotations
@@ -76,9 +77,9 @@ def read_back(text: str) -> Turns:
 class ChatSettings:
     template: Callable[[Turns], str] = marked_turns
     loss_roles: tuple[str, ...] = ("assistant",)
-    # Turns up to which a conversation is rendered in one piece, and block and context of longer ones.
+    # Turns up to which a conversation needs no ranks (a block at most), and block and context of rendering.
     long_turns: int = 128
-    block: int = 64
+    block: int = 128
     context: int = 4
 
 
@@ -186,7 +187,7 @@ def _blocks(rows: DataFrame, cfg: ChatSettings) -> DataFrame:
 
 
 def format_chats(conversations: DataFrame, cfg: ChatSettings | None = None) -> DataFrame:
-    """conv_id, block, n_turns, text, rewrites_at, spans: one row per conversation, per block of a long one.
+    """conv_id, block, n_turns, text, rewrites_at, spans: one row per block of a conversation.
 
     A conversation's formatted text is that of its blocks in their order; places are counted from the start of the block. Rows
     are taken by turn (nulls first), ties by role and text, repeated rows each. Null roles and texts are empty; rows without conv_id
@@ -202,7 +203,7 @@ def _split(rows: DataFrame, cfg: ChatSettings) -> tuple[DataFrame, DataFrame | N
     spark = prepare(rows.sparkSession)
     counts = rows.groupBy("conv_id").agg(F.count("*").alias("n"))
     long_ones = materialize(
-        counts.filter(F.col("n") > cfg.long_turns).select(F.col("conv_id").alias("conv_no")), "long-conversations")
+        counts.filter(F.col("n") > min(cfg.long_turns, cfg.block)).select(F.col("conv_id").alias("conv_no")), "long-conversations")
     if long_ones.isEmpty():
         return _formatted(_whole(rows), cfg), None
     known = F.broadcast(long_ones) if fits(long_ones, 1_000_000) else long_ones

@@ -264,3 +264,17 @@ def test_rewriting_is_told_per_conversation(spark):
     closing = lambda turns: "".join(f"[{t}]" for _, t in turns) + "<end>"
     got = format_chats(spark.createDataFrame(rows, CHATS), ChatSettings(template=closing)).collect()
     assert {(r["conv_id"], r["rewrites_at"], r["text"], len(r["spans"])) for r in got} == {(1, 1, "[a][b]<end>", 0), (2, None, "[c]<end>", 1)}
+
+
+def test_rows_do_not_depend_on_the_way_of_long_conversations(spark):
+    """Every way gives the same blocks, also where a template rewrites what lies far back and with more turns than a block."""
+    def reminded(turns):
+        return "".join(f"[{t}]" for _, t in turns) + ("<again>" if len(turns) > 40 else "")
+
+    rows = [(c, k, "user", f"{c}.{k}", "", 1) for c, n in ((1, 100), (2, 128), (3, 5), (4, 200), (None, 70)) for k in range(n)]
+    table = spark.createDataFrame(rows, CHATS).repartition(4)
+    for template in (marked_turns, reminded):
+        found = [sorted(map(str, format_chats(table, ChatSettings(template=template, **way)).collect()))
+                 for way in ({}, dict(long_turns=0), dict(long_turns=10**6))]
+        assert found[0] == found[1] == found[2]
+        assert len(found[0]) == 6
