@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.sql import functions as F
@@ -151,6 +153,37 @@ def test_trees_do_not_depend_on_how_rows_are_dealt(matrix):
     assert all(not 12 <= f < 24 for trees in first for t in trees for f in t.feature)
 
 
+def test_joint_cells_route_as_bins_do(matrix):
+    """A byte for several features together: trees that ask for cells end every row where trees that ask for bins do."""
+    model = B.boost(matrix, [B.Fit(B.TreeParams(max_depth=4, min_instances=5), 6, (0, 1, 2))], CFG)[0]
+    codes = np.array([list(r["bins"]) for r in matrix.table.select("bins").collect()], np.uint8)
+    cells = B._Cells(matrix.bins.widths)
+    joint = cells.of(codes)
+    assert joint.dtype == np.uint8 and len(joint) < codes.shape[1] and sorted(f for b in cells.bundles for f in b) == list(range(codes.shape[1]))
+    for tree in model.trees:
+        node = np.full(len(codes), -1)
+        for k, at in B.ends(cells.tree(tree.arrays(matrix.bins.width)), joint, np.arange(len(codes))):
+            node[at] = k
+        assert (node == B.route(tree.arrays(matrix.bins.width), codes)).all()
+
+
+def test_passes_read_kept_blocks_and_no_files_stay(spark, matrix, monkeypatch):
+    """Blocks are kept arrays, not rows of a cached table; written ones cut the lineage and are removed when nothing starts from them."""
+    seen, one_pass = [], B._pass
+
+    def noted(blocks, *rest):
+        found = one_pass(blocks, *rest)
+        seen.append((type(blocks), blocks.getStorageLevel(), blocks.getCheckpointFile()))
+        return found
+
+    monkeypatch.setattr(B, "_pass", noted)
+    B.boost(matrix, [B.Fit(B.TreeParams(max_depth=2, min_instances=5), 7, (0, 1, 2))], CFG, store_every=2)
+    assert all(issubclass(kind, RDD) and level == B.KEPT for kind, level, _ in seen)
+    written = list(dict.fromkeys(path for _, _, path in seen if path))
+    assert len(written) == 3
+    assert not any(Path(path.removeprefix("file:")).exists() for path in written)
+
+
 def test_penalties_shrink_leaves(matrix):
     def largest(**penalty):
         model = B.boost(matrix, [B.Fit(B.TreeParams(max_depth=3, **penalty), 1, (0, 1, 2))], CFG)[0]
