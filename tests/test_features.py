@@ -8,7 +8,7 @@ from shoptrail.config import Settings
 from shoptrail.operators import behaviour as B
 from shoptrail.operators import population as P
 from shoptrail.plans.prepare import build_matrix
-from shoptrail.session import materialize
+from shoptrail.session import materialize, tune
 
 CFG = Settings()
 PAIR = ("user_id", "category_l1")
@@ -115,3 +115,12 @@ def test_matrix_has_one_row_per_user_and_category(spark):
     assert n == keys == matrix.select("user_id").distinct().count() * len(CFG.categories)
     assert set(CFG.stored_features) <= set(matrix.columns) and len(CFG.numeric_features) == 24
     assert matrix.filter(F.col("label").isNull()).count() == 0
+
+
+def test_tasks_after_a_shuffle_stay_small(spark):
+    """Some 25 MB of shuffled rows are not merged into one task, whose memory would be a multiple of them."""
+    own = tune(spark.newSession())
+    own.conf.set("spark.sql.shuffle.partitions", "16")
+    own.conf.set("spark.sql.adaptive.coalescePartitions.parallelismFirst", "false")
+    rows = own.range(300_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    assert rows.repartition("id").rdd.getNumPartitions() > 1
