@@ -184,6 +184,25 @@ def test_passes_read_kept_blocks_and_no_files_stay(spark, matrix, monkeypatch):
     assert not any(Path(path.removeprefix("file:")).exists() for path in written)
 
 
+def test_tasks_that_hold_their_blocks_grow_the_same_trees(spark, matrix, monkeypatch):
+    """Rounds in a barrier stage: no job a level, the same trees and losses, and no files of sums stay."""
+    monkeypatch.setattr(B, "TASK_ROWS", 300)
+    fits = [B.Fit(B.TreeParams(max_depth=3, subsampling=0.7, feature_share=0.5), 25, (1, 2), (0,)), B.Fit(B.TreeParams(max_depth=2), 9, (0, 1)),
+            B.Fit(B.TreeParams(max_depth=4, min_instances=5, leaves=6, l1=0.5, l2=1.0), 25, (0, 2), (1,))]
+    monkeypatch.setattr(B, "JOB_ROUNDS", 1000)
+    by_jobs = B.boost(matrix, fits, CFG)
+    passes, one_pass = [], B._pass
+    monkeypatch.setattr(B, "_pass", lambda *args: passes.append(args[1]) or one_pass(*args))
+    monkeypatch.setattr(B, "JOB_ROUNDS", 2)
+    monkeypatch.setattr(B, "HELD_ROUNDS", 7)
+    held = B.boost(matrix, fits, CFG)
+    assert [(m.trees, m.losses) for m in held] == [(m.trees, m.losses) for m in by_jobs]
+    assert 0 < len(passes) <= 8 and passes[0] > 1  # two rounds of at most four levels, in several tasks
+    assert not list(Path(B.work_dir(spark).removeprefix("file:")).glob("shoptrail/sums-*"))
+    monkeypatch.setattr(B, "_may_hold", lambda *_: False)  # more tasks than can run at once
+    assert [m.trees for m in B.boost(matrix, fits, CFG)] == [m.trees for m in by_jobs]
+
+
 def test_penalties_shrink_leaves(matrix):
     def largest(**penalty):
         model = B.boost(matrix, [B.Fit(B.TreeParams(max_depth=3, **penalty), 1, (0, 1, 2))], CFG)[0]
