@@ -169,6 +169,7 @@ def chain(hashes: np.ndarray, order: int) -> np.ndarray:
 
 def release() -> None:
     """Gives freed memory back to the system: Python workers are reused, and the next stage needs it elsewhere."""
+    _POWERS.clear()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoptrail.llm.common import Hasher, flat, lower_ascii, mix, prepare, slabs, text_bytes
+from shoptrail.llm.common import Hasher, flat, lower_ascii, mix, prepare, release, slabs, text_bytes
 from shoptrail.session import materialize
 
 NONE = np.uint64(2**64 - 1)
@@ -120,6 +120,8 @@ def word_counts(docs: DataFrame, cfg: PhraseSettings) -> DataFrame:
                     yield from parts.pop().to_batches(max_chunksize=50_000)
         if parts:
             yield from combined(parts).to_batches(max_chunksize=50_000)
+        del parts
+        release()
 
     counted = _texts(docs).mapInArrow(run, "lang_key bigint, key bigint, word string, n bigint")
     whole = counted.groupBy("lang_key", "key", "word").agg(F.sum("n").alias("n"))
@@ -227,18 +229,21 @@ def _tiled(ids: np.ndarray, weights: np.ndarray, langs: np.ndarray, tiles: int,
     both = (one < hot) & (two < hot) & (three != COUNTED)
     dealt = np.where(both, np.where(three < hot, whole, triple), pair)
     tile = (dealt >> np.uint64(24)) % np.uint64(tiles)
-    order = np.argsort(tile << np.uint64(40) | (pair & np.uint64(0xFFFFFF)) << np.uint64(16) | whole & np.uint64(0xFFFF))
-    rows = np.vstack([ids, langs[None], tile[None]])[:, order]
-    new = np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0))
-    first = np.flatnonzero(new)
-    sums = np.add.reduceat(weights[order], first).astype(np.uint64)
-    rows = rows[:, first]
-    cuts = np.append(np.flatnonzero(np.append(True, rows[5, 1:] != rows[5, :-1])), rows.shape[1])
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        part = rows[:5, a:b]
+    key = tile << np.uint64(40) | (pair & np.uint64(0xFFFFFF)) << np.uint64(16) | whole & np.uint64(0xFFFF)
+    del pair, triple, whole, both, dealt
+    order = np.argsort(key)
+    del key
+    tile = tile[order]
+    cuts = np.append(np.flatnonzero(np.append(True, tile[1:] != tile[:-1])), len(tile))
+    for a, b in zip(cuts[:-1], cuts[1:]):  # a buffer of records is large: only those of a tile are held twice
+        at = order[a:b]
+        rows = np.stack([column[at] for column in (one, two, three, four, langs)])
+        first = np.flatnonzero(np.append(True, (rows[:, 1:] != rows[:, :-1]).any(axis=0)))
+        sums = np.add.reduceat(weights[at], first).astype(np.uint64)
+        part = rows[:, first]
         # the lang is a function of the first word: told once per value
         names, which = np.unique(part[4], return_inverse=True)
-        yield int(rows[5, a]), struct.pack("<I", len(names)) + names.tobytes() + _pack([*part[:4], which.astype(np.uint64), sums[a:b]])
+        yield int(tile[a]), struct.pack("<I", len(names)) + names.tobytes() + _pack([*part[:4], which.astype(np.uint64), sums])
 
 
 def records(docs: DataFrame, shared, tiles: int, cfg: PhraseSettings) -> DataFrame:
@@ -250,7 +255,9 @@ def records(docs: DataFrame, shared, tiles: int, cfg: PhraseSettings) -> DataFra
         pairs: list[tuple] = []
 
         def flush(rows: np.ndarray, weights: np.ndarray, langs: np.ndarray) -> Iterator[pa.RecordBatch]:
-            out = list(_tiled(rows, weights, langs, tiles, known.hot))
+            out = [] if not len(langs) else list(_tiled(rows, weights, langs, tiles, known.hot))
+            del rows, weights, langs
+            release()
             for k in range(0, len(out), 200):
                 yield pa.RecordBatch.from_pydict({
                     "tile": pa.array([t for t, _ in out[k : k + 200]], pa.int32()),
@@ -263,6 +270,11 @@ def records(docs: DataFrame, shared, tiles: int, cfg: PhraseSettings) -> DataFra
             lang[inverse] = langs
             return a, b, total, lang
 
+        def taken(parts: list[np.ndarray]) -> tuple:
+            rows = np.concatenate(parts, axis=1)
+            parts.clear()
+            return rows[:4], np.ones(rows.shape[1], np.int64), rows[4]
+
         for batch in batches:
             for _, _, _, keys, joined, lang in tokens(batch):
                 ids = known.of_keys(keys)
@@ -287,15 +299,12 @@ def records(docs: DataFrame, shared, tiles: int, cfg: PhraseSettings) -> DataFra
                         pairs = [merged()]
                 held.append(rows)
                 if sum(r.shape[1] for r in held) >= cfg.buffer:
-                    rows = np.concatenate(held, axis=1)
-                    held = []
-                    yield from flush(rows[:4], np.ones(rows.shape[1], np.int64), rows[4])
+                    yield from flush(*taken(held))
         if held:
-            rows = np.concatenate(held, axis=1)
-            if rows.shape[1]:
-                yield from flush(rows[:4], np.ones(rows.shape[1], np.int64), rows[4])
+            yield from flush(*taken(held))
         if pairs:
             a, b, sums, langs = merged()
+            pairs = []
             yield from flush(np.stack([a, b, np.full(len(a), COUNTED), np.full(len(a), NONE)]), sums, langs)
 
     return _texts(docs).mapInArrow(run, "tile int, blob binary")
@@ -373,6 +382,7 @@ def frequent_phrases(docs: DataFrame, words: DataFrame, cfg: PhraseSettings) ->
         ids = shared.value
         langs, rows, counts = count_tile(table.column("blob").to_pylist(), ids, cfg)
         columns = {p: ids.to_keys(row) for p, row in zip(PLACES, rows)}
+        release()
         return pa.table({"lang_key": langs.astype(np.int64), **columns, "f": counts})
 
     schema = "lang_key bigint, w1 bigint, w2 bigint, w3 bigint, w4 bigint, f bigint"

@@ -121,3 +121,36 @@ def test_long_leaks_reach_the_target(words, kind):
         hashes = np.concatenate([noise[:30], item, noise[30:]])
         found += any(f[1] == k % 20 for f in index.find(hashes, np.zeros(len(hashes), np.int64)))
     assert found >= cfg.target_recall * tries, found / tries
+
+
+def test_records_of_a_buffer_are_not_held_several_times():
+    """Packing a buffer takes little more memory than the buffer itself."""
+    import tracemalloc
+
+    from shoptrail.llm import phrases
+
+    ids = (np.random.default_rng(1).zipf(1.3, (4, 200_000)) % 60_000).astype(np.uint64)
+    weights, langs = np.ones(ids.shape[1], np.int64), ids[0] % np.uint64(4)
+    tracemalloc.start()
+    total = 0
+    for _, blob in phrases._tiled(ids, weights, langs, 32, 3):
+        total += int(phrases._tile_rows([blob])[0][4].sum())
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == ids.shape[1] and peak < 2 * (ids.nbytes + weights.nbytes + langs.nbytes)
+
+
+def test_rows_with_ids_leave_a_small_cache(monkeypatch):
+    """A task remembers fewer pieces where its rows keep texts and ids, and forgets them at its end."""
+    import pyarrow as pa
+
+    from shoptrail.llm import bpe
+    from shoptrail.llm.queries import tokenizer
+
+    path, freed = tokenizer("word_bpe_49k.json"), []
+    monkeypatch.setattr(bpe, "release", lambda: freed.append(len(bpe._MODELS[path].known) if path in bpe._MODELS else 0))
+    words = [" ".join(f"w{k}x{j}" for j in range(50)) for k in range(400)]
+    batch = pa.RecordBatch.from_pydict({"text": words})
+    told = [[c for _, coded in bpe._coded(iter([batch] * 2), path, most) for c in coded] for most in (300, 100_000)]
+    assert told[0] == told[1] and bpe.ROW_CACHE_WORDS < bpe.CACHE_WORDS
+    assert freed == [0] * 4 and not bpe.word_bpe(path).older
