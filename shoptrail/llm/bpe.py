@@ -20,9 +20,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
-from shoptrail.llm.common import prepare, whole_texts
+from shoptrail.llm.common import prepare, release, whole_texts
 
-CACHE_WORDS = 200_000
+# Pieces that a worker remembers: where only digests leave it, and where rows with texts, ids and tokens do.
+CACHE_WORDS, ROW_CACHE_WORDS = 200_000, 50_000
 _NONE = np.int64(1 << 62)
 _MODELS: dict[str, WordBpe] = {}
 
@@ -66,6 +67,7 @@ class WordBpe:
         self.whole = lowest[self.made] > ranks  # all places of the pair may be merged at once
         self.shown = [self.tokens.get(i, "") for i in range(self.width)]
         self.digits = [str(i) for i in range(self.width)]
+        self.most = CACHE_WORDS
         self.known: dict[str, tuple[str, str]] = {}
         self.older: dict[str, tuple[str, str]] = {}
 
@@ -142,7 +144,7 @@ class WordBpe:
         for t in texts:
             cut = self.splits.split(t) if self.splits and "<" in t else [t]
             parts.append([(p, None) if p in self.special else (None, self.pieces(p)) for p in cut])
-        if len(self.known) > CACHE_WORDS:  # pieces that were not met since are forgotten
+        if len(self.known) > self.most:  # pieces that were not met since are forgotten
             self.known, self.older = {}, self.known
         get = self.known.get
         found = [[None if words is None else list(map(get, words)) for _, words in x] for x in parts]
@@ -178,9 +180,11 @@ def word_bpe(path: str) -> WordBpe:
     return _MODELS[path]
 
 
-def _coded(batches: Iterator[pa.RecordBatch], path: str):
+def _coded(batches: Iterator[pa.RecordBatch], path: str, most: int):
     """Known pieces are forgotten after a task: its worker goes on to tasks of other operators."""
+    release()
     model = word_bpe(path)
+    model.most = most
     try:
         for batch in batches:
             for k in range(0, batch.num_rows, 200):
@@ -188,6 +192,7 @@ def _coded(batches: Iterator[pa.RecordBatch], path: str):
                 yield part, model.encode(part.column("text").to_pylist())
     finally:
         model.known, model.older = {}, {}
+        release()
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
@@ -198,7 +203,7 @@ def digests(docs: DataFrame, path: str) -> DataFrame:
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, coded in _coded(batches, path):
+        for part, coded in _coded(batches, path, CACHE_WORDS):
             sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
             yield pa.RecordBatch.from_arrays([
                 part.column("doc_id"), pa.array([a.count(" ") + 1 if a else 0 for a, _ in coded], pa.int64()),
@@ -218,7 +223,7 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
     rows = whole_texts(docs, *[f"`{c}`" for c in keep if c not in ("doc_id", "text", "ids", "decoded")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, coded in _coded(batches, path):
+        for part, coded in _coded(batches, path, ROW_CACHE_WORDS):
             ids = pa.array([[int(i) for i in a.split()] for a, _ in coded], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [*part.columns, ids, pa.array([b for _, b in coded])], names=[*part.schema.names, "ids", "decoded"])

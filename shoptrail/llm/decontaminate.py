@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.common import Hasher, chain, flat, mix, prepare, slabs, whole_texts, word_spans
+from shoptrail.llm.common import Hasher, chain, flat, mix, prepare, release, slabs, whole_texts, word_spans
 
 # Letters and digits (and all bytes of non-ASCII characters) form words, in lower case.
 _PLAIN = np.full(256, 32, np.uint8)
@@ -275,6 +275,8 @@ def drop_leaked(docs: DataFrame, benchmark: DataFrame, cfg: LeakSettings | None
                 for a, b in slabs(pa.table({"text": text})):
                     clean[[a + f[0] for f in index.find(*words_of(text.slice(a, b - a)))]] = False
                 yield batch.filter(pa.array(clean))
+            del index
+            release()
 
         out = out.mapInArrow(run, docs.schema)
     return out

@@ -122,6 +122,7 @@ def signatures(docs: DataFrame, cfg: JoinSettings) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(prints), pa.array(rows, pa.list_(pa.int64()))],
                 names=["doc_id", "fp", "bands"])
+        release()
 
     return whole_texts(docs).mapInArrow(run, "doc_id bigint, fp string, bands array<bigint>")
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoptrail.llm.common import id_remainder, prepare, whole_texts
+from shoptrail.llm.common import id_remainder, prepare, release, whole_texts
 
 FIT_ROWS = 60_000  # labelled rows used for fitting at most, chosen by a hash of the id
 FOLDS = 5
@@ -289,5 +289,6 @@ def keep_clean(docs: DataFrame, model: ToxicModel) -> DataFrame:
         for batch in batches:
             fine = [model.score(model.features(t or "")) < 0.5 for t in batch.column(place).to_pylist()]
             yield batch.filter(pa.array(fine, pa.bool_()))
+        release()
 
     return docs.mapInArrow(run, schema)
