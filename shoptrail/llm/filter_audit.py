@@ -4,7 +4,8 @@ A filter is a column that says whether a row fails. The rows that fail are writt
 that fail nothing are only counted. Which failing rows still stand after a set of earlier filters does not depend on
 their order, so a lattice of sets is walked, a level per number of earlier filters: a left-anti join with the id table of
 the next earlier filter leaves what that prefix lets through, a left-semi join what it has removed already. Every
-order is put together from these counts.
+order is put together from these counts. Both sides of these joins grow with the documents, so they are merged: files of ids are a few
+bytes a row, and Spark would still broadcast them, through the driver, at many times that size.
 """
 
 from __future__ import annotations
@@ -53,7 +54,7 @@ def later_copies(rows: DataFrame, digest: str = "digest") -> DataFrame:
     hot = firsts.filter(F.col("copies") > many)
     hot_rows = rows.join(F.broadcast(hot), digest)
     other = rows.join(F.broadcast(hot.select(digest)), digest, "left_anti")
-    both = hot_rows.unionByName(other.join(firsts.filter(F.col("copies") <= many), digest))
+    both = hot_rows.unionByName(other.join(firsts.filter(F.col("copies") <= many).hint("merge"), digest))
     return both.filter(F.col("doc_id") > F.col("first")).drop("first", "copies")
 
 
@@ -81,7 +82,7 @@ def failing_ids(docs: DataFrame, labels: DataFrame, filters: Mapping[str, Column
     known = known.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(LABEL_SALTS - 1).cast("bigint"))))
     # a null id finds no label, and must not bring all of its rows to one task; nor must an id that many rows repeat
     salt = F.when(F.col("doc_id").isNull(), -1 - F.col("rid")).otherwise(F.col("rid") % LABEL_SALTS)
-    told = rows.withColumn("salt", salt).join(known, ["doc_id", "salt"], "left")
+    told = rows.withColumn("salt", salt).join(known.hint("merge"), ["doc_id", "salt"], "left")
     told = told.select("filter", "rid", "part", *[F.coalesce(n, F.lit(0)).alias(n) for n in ("good", "toxic")])
     path = fresh_path(spark, "failing")
     told.write.partitionBy("filter").parquet(path)
@@ -101,7 +102,7 @@ def lattice(failing: DataFrame, names: list[str]) -> DataFrame:
     in ``mask``; for kind 1, none of ``mask`` but its last.
     """
     number = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.lit(i))])
-    ids = failing.select(number[F.col("filter")].alias("added"), "rid")
+    ids = failing.select(number[F.col("filter")].alias("added"), "rid").hint("merge")
     level = failing.select(
         number[F.col("filter")].alias("own"), F.lit(0).alias("mask"), F.lit(-1).alias("last"), "rid", "part", "good", "toxic")
     counted = []

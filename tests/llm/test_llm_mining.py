@@ -157,6 +157,21 @@ def test_audit_of_clean_and_of_no_documents(spark):
     assert filter_audit.audit(spark.createDataFrame([], COLUMNS), labels).collect() == []
 
 
+def test_audit_joins_ids_without_the_driver(spark, docs, rows, monkeypatch):
+    """Tables of ids, labels and copied digests grow with the documents, so none of them is broadcast however small its files are."""
+    plans, store = [], filter_audit.materialize
+
+    def plan(table):
+        return table._jdf.queryExecution().executedPlan().toString()
+
+    monkeypatch.setattr(filter_audit, "materialize", lambda table, label: plans.append(plan(table)) or store(table, label))
+    plans.append(plan(filter_audit.audit(docs, spark.createDataFrame(label_rows(rows), LABELS))))
+    joins = [line for p in plans for line in p.splitlines() if "Join" in line and "rid#" in line]
+    assert len(joins) >= 8 and not any("Broadcast" in line for line in joins)
+    copied = filter_audit.later_copies(docs.selectExpr("doc_id", "text AS digest"))
+    assert "SortMergeJoin [digest#" in plan(copied)
+
+
 def test_audit_of_own_filters(spark, docs, rows):
     length = filter_audit.F.char_length("text")
     got = filter_audit.audit(docs, spark.createDataFrame([], LABELS), {"x": length < 10, "y": length < 100}, None).collect()
