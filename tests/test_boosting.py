@@ -203,6 +203,25 @@ def test_tasks_that_hold_their_blocks_grow_the_same_trees(spark, matrix, monkeyp
     assert [m.trees for m in B.boost(matrix, fits, CFG)] == [m.trees for m in by_jobs]
 
 
+def test_many_rows_and_fits_are_held_from_the_first_round(matrix, monkeypatch):
+    """Twenty trials on ten million rows are a task a core, so that all tasks can hold their blocks at once; no round goes by jobs."""
+    assert B._tasks(10_000_000, 10, 20, 12) == 12 and B._tasks(3 * B.TASK_ROWS - 1, 10, 20, 12) == 3
+    assert B._tasks(10**9, 10, 20, 12) == 12 * math.ceil(10**9 * 186 / (12 * B.TASK_BYTES))
+    monkeypatch.setattr(B, "TASK_ROWS", 300)
+    fits = [B.Fit(p, 4, (1, 2), (0,)) for p in L.draw_params(CFG, 3)]
+    by_jobs = B.boost(matrix, fits, CFG)
+    monkeypatch.setattr(B, "MANY_ROWS", 0)
+    monkeypatch.setattr(B, "_pass", None)
+    assert [(m.trees, m.losses) for m in B.boost(matrix, fits, CFG)] == [(m.trees, m.losses) for m in by_jobs]
+
+
+def test_known_bins_are_not_found_again(rows, matrix, monkeypatch):
+    first = L.fit_trees(rows, CFG, B.TreeParams(max_depth=3), 3)
+    monkeypatch.setattr(B.Bins, "of", None)
+    again = L.fit_trees(rows, CFG, B.TreeParams(max_depth=3), 3, bins=first.bins)
+    assert again.trees == first.trees
+
+
 def test_penalties_shrink_leaves(matrix):
     def largest(**penalty):
         model = B.boost(matrix, [B.Fit(B.TreeParams(max_depth=3, **penalty), 1, (0, 1, 2))], CFG)[0]
